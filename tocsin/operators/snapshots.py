@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tocsin import schemas
 from tocsin.operators import quality, tables
 
 _VERSION = "snapshot_version"
-_HISTORY = T.StructType.fromDDL(
-    "version bigint, timestamp timestamp, operation string, operation_metrics map<string,string>, "
+_HISTORY = schemas.struct(
+    "version bigint, timestamp timestamp, operation string, operation_metrics map, "
     "base bigint, table_schema string, run_id string"
 )
 

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Microseconds survive a round trip; quotes are doubled as most CSV tools do.
+# Microseconds and outer spaces survive a round trip; quotes are doubled as most
+# CSV tools do.
 _CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }

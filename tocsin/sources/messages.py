@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tocsin import schemas
 
 
-def encode(df: DataFrame, key: str | None = "incident_type") -> DataFrame:
-    """Frame of ``key`` and JSON ``value``, as message sinks expect it."""
-    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).cast("binary").alias("value")
-    return df.select(value) if key is None else df.select(F.col(key).cast("string").alias("key"), value)
+def encode(
+    df: DataFrame, key: str | None = "incident_type", ingest_time: Column | None = None
+) -> DataFrame:
+    """Frame of ``key`` and JSON ``value``, as message sinks expect it. Files have no
+    broker to stamp messages, so they also get the ingest time in ``timestamp``."""
+    columns = [F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).cast("binary").alias("value")]
+    if key is not None:
+        columns.insert(0, F.col(key).cast("string").alias("key"))
+    if ingest_time is not None:
+        columns.append(ingest_time.alias("timestamp"))
+    return df.select(*columns)
 
 
 def publish(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:

@@ -10,8 +10,10 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tocsin import schemas
 from tocsin.operators import reports
 from tocsin.operators.tables import latest_per_key
 from tocsin.streaming import alerts as frames
@@ -72,19 +74,15 @@ def start_all(alerts: DataFrame, out: str, checkpoint: str) -> list[StreamingQue
     ]
 
 
-def written(spark: SparkSession, out: str, schema) -> DataFrame:
-    """Everything a stream has written, with ``batch_id``."""
-    return spark.read.schema(schema.add("batch_id", "bigint")).parquet(out)
+def written(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """Everything a stream has written, with the ``batch_id`` it came in."""
+    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(stored).parquet(out)
 
 
-def latest(spark: SparkSession, out: str, frame: DataFrame, keys: list[str]) -> DataFrame:
+def latest(spark: SparkSession, out: str, schema: T.StructType, keys: list[str]) -> DataFrame:
     """The newest row per group of an update-mode output."""
-    rows = written(spark, out, _copy(frame.schema))
-    return latest_per_key(rows, keys, ["batch_id"]).drop("batch_id")
-
-
-def _copy(schema):
-    return type(schema)(list(schema.fields))
+    return latest_per_key(written(spark, out, schema), keys, ["batch_id"]).drop("batch_id")
 
 
 def start_ingest(
@@ -116,31 +114,26 @@ def start_ingest(
     return _started(alerts, write_batch, "append", checkpoint, trigger, name)
 
 
-_STORED = ["incident_id", "timestamp", "zone", "severity", "response_time", "unit_id", "hospital_id"]
+_ARRIVED = T.StructType([*schemas.STORED_ALERT.fields, T.StructField("ingest_time", T.TimestampType())])
 
 
 def _store(batch: DataFrame) -> DataFrame:
     """Last arrival per key. Rows without a key match nothing, so all are kept."""
-    rows = batch.select(*_STORED, "ingest_time")
+    rows = batch.select(_ARRIVED.names)
     keyed = latest_per_key(rows.filter("incident_id IS NOT NULL"), ["incident_id"], ["ingest_time"])
     return keyed.unionByName(rows.filter("incident_id IS NULL"))
 
 
 def stored_alerts(spark: SparkSession, out: str) -> DataFrame:
     """One row per alert key, the last arrival over all batches."""
-    rows = spark.read.schema(
-        "incident_id string, timestamp string, zone string, severity string, response_time double, "
-        "unit_id string, hospital_id string, ingest_time timestamp, batch_id bigint"
-    ).parquet(f"{out}/alerts")
+    rows = written(spark, f"{out}/alerts", _ARRIVED)
     keyed = latest_per_key(
         rows.filter("incident_id IS NOT NULL"), ["incident_id"], ["batch_id", "ingest_time"]
     )
-    return keyed.unionByName(rows.filter("incident_id IS NULL")).select(*_STORED)
+    return keyed.unionByName(rows.filter("incident_id IS NULL")).select(schemas.STORED_ALERT.names)
 
 
 def alert_totals(spark: SparkSession, out: str) -> DataFrame:
     """Running totals: the sum of the counts that each batch wrote."""
-    counts = spark.read.schema(
-        "dimension string, value string, alerts bigint, batch_id bigint"
-    ).parquet(f"{out}/stats")
+    counts = written(spark, f"{out}/stats", schemas.ALERT_COUNT)
     return counts.groupBy("dimension", "value").agg(F.sum("alerts").alias("alerts"))
