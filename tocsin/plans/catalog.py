@@ -848,8 +848,10 @@ def capstone_job(spark, sf_dir):
 
 
 def _payload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as alert payloads, read as a stream of files."""
-    return standin.to_alerts(messages.file_stream(spark, f"{sf_dir}/events.parquet", standin.EVENTS))
+    """The events as alert payloads, read as a stream of files. A pattern, because a
+    stream takes a single file only through one."""
+    path = f"{sf_dir}/{{events.parquet}}"
+    return standin.to_alerts(messages.file_stream(spark, path, standin.EVENTS))
 
 
 def _message_stream(payload: DataFrame) -> DataFrame:
