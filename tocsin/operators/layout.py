@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +26,14 @@ def partition_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Rows per partition and key. Counting happens inside each partition."""
     placed = df.select(F.spark_partition_id().alias("partition_id"), *keys)
     return placed.groupBy("partition_id", *keys).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a frame that is read more than once, and free it afterwards. What does
+    not fit in memory goes to disk; a lost block is computed again."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

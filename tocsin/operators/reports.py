@@ -4,10 +4,6 @@ that holds most of the rows is folded before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,14 +156,3 @@ def alert_stats(df: DataFrame) -> DataFrame:
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
     """First ``n`` rows in order; Spark keeps only ``n`` per task while it sorts."""
     return df.orderBy(*order).limit(n)
-
-
-@contextmanager
-def cached(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a frame that is read more than once, and free it afterwards. What does
-    not fit in memory goes to disk; a lost block is computed again."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()

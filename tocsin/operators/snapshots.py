@@ -1,12 +1,13 @@
 """Versioned tables on plain Parquet.
 
 A table is a folder with two datasets: ``data``, partitioned by the version that
-wrote the rows, and ``history``, one row per version. A version consists of the
-partitions from its ``base`` up to itself, so
+wrote the rows, and ``history``, one row per version. The history row lists the
+partitions its version consists of, so
 
-- an append writes the new rows only and keeps the base of the version before,
-- an overwrite or update writes the whole table and becomes its own base,
-- a read prunes to those partitions.
+- an append writes the new rows only and adds one partition,
+- an update rewrites only the partitions in which a row changes,
+- an overwrite starts over with one partition,
+- a read prunes to the listed partitions.
 
 Data is written before its history row. A version without one does not exist for
 readers, and the next writer replaces what a failed one left behind. One writer
@@ -18,18 +19,18 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tocsin import schemas
 from tocsin.operators import quality, tables
+from tocsin.sources import files
 
 _VERSION = "snapshot_version"
 _HISTORY = schemas.struct(
     "version bigint, timestamp timestamp, operation string, operation_metrics map, "
-    "base bigint, table_schema string, run_id string"
+    "parts bigints, table_schema string, run_id string"
 )
 
 
@@ -75,7 +76,7 @@ class SnapshotTable:
             return done["version"]
         if last and not new_schema:
             df = self._fit(df, last)
-        return self._commit(df, last, "OVERWRITE", fresh_base=True, run_id=run_id)
+        return self._commit(df, last, "OVERWRITE", kept=[], run_id=run_id)
 
     def append(self, df: DataFrame, run_id: str | None = None) -> int:
         """Add rows. A run id that was committed before is not written again."""
@@ -84,18 +85,18 @@ class SnapshotTable:
             return done["version"]
         if last:
             df = self._fit(df, last)
-        return self._commit(df, last, "APPEND", fresh_base=last is None, run_id=run_id)
+        return self._commit(df, last, "APPEND", kept=last["parts"] if last else [], run_id=run_id)
 
     def update(self, *rules: tuple[str, dict[str, str]], run_id: str | None = None) -> int:
         """Apply ``(condition, {column: expression})`` rules in order.
 
-        All rules go over the rows in one pass and make one version. A rule sees
-        what the rules before it did.
+        All rules go over the rows together and make one version; a rule sees what
+        the rules before it did. Without any matching row there is no new version.
         """
         last = self._entry(None)
         if done := self._done(run_id):
             return done["version"]
-        df = self._rows(last).withColumn("_hit", F.lit(False))
+        df = self._parts(last).withColumn("_hit", F.lit(False))
         for condition, settings in rules:
             hit = F.coalesce(F.expr(condition), F.lit(False))
             changed = {
@@ -103,7 +104,13 @@ class SnapshotTable:
                 for c, value in settings.items()
             }
             df = df.withColumns({**changed, "_hit": F.col("_hit") | hit})
-        return self._commit(df, last, "UPDATE", fresh_base=True, run_id=run_id)
+        # Partition numbers only: as many as there are writes, not rows.
+        touched = [row[0] for row in df.filter("_hit").select(_VERSION).distinct().collect()]
+        if not touched:
+            return last["version"]
+        rows = df.filter(F.col(_VERSION).isin(touched)).drop(_VERSION)
+        kept = [part for part in last["parts"] if part not in touched]
+        return self._commit(rows, last, "UPDATE", kept, run_id)
 
     # -- inside ----------------------------------------------------------
 
@@ -111,12 +118,9 @@ class SnapshotTable:
         return self.spark.read.schema(_HISTORY).parquet(self._log)
 
     def _last(self) -> Row | None:
-        try:
-            return self._history_rows().orderBy(F.desc("version")).first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not files.exists(self.spark, self._log):
             return None
+        return self._history_rows().orderBy(F.desc("version")).first()
 
     def _entry(self, version: int | None) -> Row:
         if version is None:
@@ -133,10 +137,13 @@ class SnapshotTable:
         return self._history_rows().filter(F.col("run_id") == run_id).first()
 
     def _rows(self, entry: Row) -> DataFrame:
+        return self._parts(entry).drop(_VERSION)
+
+    def _parts(self, entry: Row) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry["table_schema"]))
         stored = T.StructType([*schema.fields, T.StructField(_VERSION, T.LongType())])
-        live = F.col(_VERSION).between(entry["base"], entry["version"])
-        return self.spark.read.schema(stored).parquet(self._data).filter(live).drop(_VERSION)
+        listed = F.col(_VERSION).isin(entry["parts"])
+        return self.spark.read.schema(stored).parquet(self._data).filter(listed)
 
     def _fit(self, df: DataFrame, last: Row) -> DataFrame:
         """Check the columns against the table; absent ones are filled with nulls."""
@@ -152,7 +159,7 @@ class SnapshotTable:
         return tables.add_missing(df, schema).select(schema.names)
 
     def _commit(
-        self, df: DataFrame, last: Row | None, operation: str, fresh_base: bool, run_id: str | None
+        self, df: DataFrame, last: Row | None, operation: str, kept: list[int], run_id: str | None
     ) -> int:
         version = last["version"] + 1 if last else 0
         written = Observation()
@@ -164,10 +171,10 @@ class SnapshotTable:
         metrics = {name: str(value) for name, value in written.get.items()}
         row = (
             version,
-            datetime.now(timezone.utc).replace(tzinfo=None),
+            datetime.now(timezone.utc),
             operation,
             metrics,
-            version if fresh_base else last["base"],
+            [*kept, version],
             out.schema.json(),
             run_id,
         )

@@ -17,6 +17,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "map": T.MapType(T.StringType(), T.StringType()),
+    "bigints": T.ArrayType(T.LongType()),
 }
 
 

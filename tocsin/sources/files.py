@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,17 +74,20 @@ def read_json_log(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).json(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def first_available(
     spark: SparkSession, paths: Iterable[str], fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame | None:
     """The first path that exists, or None when there is none."""
     for path in paths:
-        try:
+        if exists(spark, path):
             if fmt == "csv":
                 return read_csv(spark, path, schema)
             reader = spark.read.schema(schema) if schema else spark.read
             return reader.format(fmt).load(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
     return None

@@ -17,6 +17,24 @@ from tocsin.functions import scalar
 EVENTS = schemas.struct(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
+# Known shapes spare a look into the files before each query.
+_SHAPES = {
+    "events": EVENTS,
+    "orders": schemas.struct(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": schemas.struct(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "customer": schemas.struct(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "nation": schemas.struct("n_nationkey int, n_name string, n_regionkey int"),
+    "region": schemas.struct("r_regionkey int, r_name string"),
+}
 _ZONES = ["North", "South", "East", "West", "Central"]
 _SEVERITIES = ["Low", "medium", "HIGH", "Critical", " critical ", "low", "unknown", None]
 
@@ -48,11 +66,13 @@ alerts AS (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(_SHAPES[name]) if name in _SHAPES else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def to_incidents(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    # props is a flat object; a filter repeats this expression, so it should be cheap.
+    k = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).try_cast("int")
     seconds = F.col("value") * 24
     zones = F.array(*[F.lit(z) for z in _ZONES])
     severities = F.array(*[F.lit(s) for s in _SEVERITIES])

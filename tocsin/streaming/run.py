@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tocsin import schemas
 from tocsin.operators import reports
+from tocsin.operators.layout import cached
 from tocsin.operators.tables import latest_per_key
 from tocsin.streaming import alerts as frames
 
@@ -101,15 +101,12 @@ def start_ingest(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with cached(batch) as kept:
             _store(kept).write.mode("overwrite").parquet(f"{out}/alerts/{part}")
             log = kept.drop("ingest_time", "event_time")
             log.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{out}/log/{part}")
             reports.dispatches(kept).write.mode("overwrite").parquet(f"{out}/dispatches/{part}")
             reports.alert_stats(kept).write.mode("overwrite").parquet(f"{out}/stats/{part}")
-        finally:
-            kept.unpersist()
 
     return _started(alerts, write_batch, "append", checkpoint, trigger, name)
 
