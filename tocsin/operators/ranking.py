@@ -16,8 +16,9 @@ def _with_offset(df: DataFrame, bucket: str, weight: Column) -> DataFrame:
     totals = df.groupBy(bucket).agg(F.sum(weight).alias("_weight"))
     lower = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(bucket, F.coalesce(F.sum("_weight").over(lower), F.lit(0)).alias("_before"))
-    # Bounded by the number of buckets, whatever the size of df.
-    return df.join(F.broadcast(offsets), bucket)
+    # Bounded by the number of buckets, whatever the size of df. A left join, as an
+    # inner one would push a null test into this branch and so compute df twice.
+    return df.join(F.broadcast(offsets), bucket, "left")
 
 
 def rank_by(df: DataFrame, value: str, name: str, buckets: int = 256) -> DataFrame:

@@ -80,3 +80,16 @@ def fact(
         F.col(seconds).cast("double").alias("response_time_seconds"),
         ended.cast("string").alias("outcome"),
     )
+
+
+def named(tables: dict[str, DataFrame]) -> DataFrame:
+    """Fact rows with what their ids stand for."""
+    out = tables["fact_incidents"]
+    for dim, id_name in (
+        ("dim_location", "location_id"),
+        ("dim_unit", "unit_id"),
+        ("dim_severity", "severity_id"),
+        ("dim_time", "time_id"),
+    ):
+        out = out.join(tables[dim], id_name, "left")
+    return out

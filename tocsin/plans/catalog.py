@@ -675,36 +675,38 @@ def dim_time(spark, sf_dir):
     return star.dim_time(standin.table(spark, sf_dir, "events"), "ts")
 
 
+def _stored_dimension(dim: DataFrame, id_name: str) -> DataFrame:
+    """The stored dimension without its ids, and whether those run from 1 without gaps."""
+    stored = files.replace_table(dim, new_path(dim.sparkSession, "dimension"))
+    ids = stored.agg(F.max(id_name)).scalar().alias("last_id")
+    distinct_ids = stored.agg(F.count_distinct(id_name)).scalar().alias("distinct_ids")
+    return stored.select(*[c for c in stored.columns if c != id_name], ids, distinct_ids)
+
+
 @query(
     "dim_location",
-    """SELECT r_name AS zone, n_name AS district, CAST(NULL AS VARCHAR) AS city
+    """SELECT r_name AS zone, n_name AS district, count(*) OVER () AS last_id, count(*) OVER () AS distinct_ids
     FROM nation JOIN region ON n_regionkey = r_regionkey""",
 )
 def dim_location(spark, sf_dir):
-    return star.dim_location(standin.places(spark, sf_dir)).select("zone", "district", "city")
+    dim = star.dim_location(standin.places(spark, sf_dir))
+    return _stored_dimension(dim, "location_id").drop("city", "lat", "lon")
 
 
 @query(
     "dim_unit",
-    """SELECT DISTINCT c_name AS unit_name, c_mktsegment AS unit_type, n_name AS base_station
-    FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    """SELECT *, count(*) OVER () AS last_id, count(*) OVER () AS distinct_ids
+    FROM (SELECT DISTINCT c_name AS unit_name, c_mktsegment AS unit_type, n_name AS base_station
+          FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
 )
 def dim_unit(spark, sf_dir):
-    return star.dim_unit(standin.crews(spark, sf_dir)).drop("unit_id")
-
-
-def _named(fact: DataFrame, location: DataFrame, unit: DataFrame, severity: DataFrame, hours: DataFrame) -> DataFrame:
-    """Fact rows with what their ids stand for."""
-    return (
-        fact.join(location, "location_id", "left")
-        .join(unit, "unit_id", "left")
-        .join(severity, "severity_id", "left")
-        .join(hours, "time_id", "left")
-        .select(
-            "incident_id", "date", "hour", "is_weekend", "zone", "district", "unit_name", "unit_type",
-            "severity", "response_time_seconds", "outcome",
-        )
-    )
+    return _stored_dimension(star.dim_unit(standin.crews(spark, sf_dir)), "unit_id")
+
+
+_FACT_COLUMNS = [
+    "incident_id", "date", "hour", "is_weekend", "zone", "district", "unit_name", "unit_type",
+    "severity", "response_time_seconds", "outcome",
+]
 
 
 @query(
@@ -718,21 +720,21 @@ def _named(fact: DataFrame, location: DataFrame, unit: DataFrame, severity: Data
     LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
 )
 def star_fact(spark, sf_dir):
-    orders = standin.table(spark, sf_dir, "orders")
     crews = standin.crews(spark, sf_dir)
-    location = star.dim_location(standin.places(spark, sf_dir))
-    unit = star.dim_unit(crews)
-    severity = star.dim_severity(orders.select(F.col("o_orderpriority").alias("severity")))
-    hours = star.dim_time(orders, "o_orderdate")
-    # Ids are looked up on the smaller side first, so orders shuffle only once.
-    crew_ids = star.lookup(
-        star.lookup(crews, unit, "unit_id", unit_name="unit_name", unit_type="unit_type", base_station="base_station"),
-        location, "location_id", zone="zone", district="district",
-    ).select("c_custkey", "unit_id", "location_id")
-    placed = orders.join(crew_ids, orders.o_custkey == crew_ids.c_custkey, "left")
-    ready = star.lookup(placed, severity, "severity_id", severity="o_orderpriority")
-    fact = star.fact(ready, "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
-    return _named(fact, location, unit, severity, hours)
+    loaded = jobs.load_star(
+        standin.table(spark, sf_dir, "orders"),
+        new_path(spark, "star"),
+        places=standin.places(spark, sf_dir).select("zone", "district"),
+        units=crews.select("unit_name", "unit_type", "base_station"),
+        crews=crews,
+        on=("o_custkey", "c_custkey"),
+        key="o_orderkey",
+        ts="o_orderdate",
+        seconds="o_totalprice",
+        severity="o_orderpriority",
+        outcome="o_orderstatus",
+    )
+    return star.named(loaded).select(_FACT_COLUMNS)
 
 
 @query(
@@ -747,11 +749,10 @@ def star_fact(spark, sf_dir):
 )
 def star_incidents(spark, sf_dir):
     df = clean.normalize_column(standin.incidents(spark, sf_dir)).withColumnRenamed("unit_id", "unit_name")
-    location, unit, severity = star.dim_location(df), star.dim_unit(df), star.dim_severity(df)
-    ready = star.lookup(df, location, "location_id", zone="zone")
-    ready = star.lookup(ready, unit, "unit_id", unit_name="unit_name")
-    ready = star.lookup(ready, severity, "severity_id", severity="severity")
-    return _named(star.fact(ready), location, unit, severity, star.dim_time(df))
+    loaded = jobs.load_star(
+        df, new_path(spark, "star"), places=df.select("zone"), units=df.select("unit_name")
+    )
+    return star.named(loaded).select(_FACT_COLUMNS)
 
 
 # -- jobs ---------------------------------------------------------------------------------

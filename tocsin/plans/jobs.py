@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tocsin.functions import scalar
 from tocsin.operators import clean as ops
-from tocsin.operators import quality, reports
+from tocsin.operators import quality, reports, star
 from tocsin.operators.snapshots import SnapshotTable
 from tocsin.sources import files
 
@@ -116,3 +116,49 @@ def capstone(
     summary = reports.dashboard(table.read())
     files.write_csv(summary, f"{root}/dashboard")
     return files.read_csv(spark, f"{root}/dashboard", summary.schema), passed
+
+
+def load_star(
+    facts: DataFrame,
+    root: str,
+    places: DataFrame,
+    units: DataFrame,
+    crews: DataFrame | None = None,
+    on: tuple[str, str] | None = None,
+    key: str = "incident_id",
+    ts: str = "timestamp",
+    seconds: str = "response_time",
+    severity: str = "severity",
+    outcome: str | None = None,
+) -> dict[str, DataFrame]:
+    """Write the dimensions, then the fact table with their ids; returns the tables.
+
+    ``places`` and ``units`` hold the natural columns of the dimensions. Facts
+    either hold them too, or refer by ``on`` (fact column, crew column) to
+    ``crews``, which do. Then ids are looked up on the crews, the smaller side,
+    and the facts are shuffled for one join only.
+    """
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        return files.replace_table(df, f"{root}/{name}")
+
+    location = stored("dim_location", star.dim_location(places))
+    unit = stored("dim_unit", star.dim_unit(units))
+    grade = stored("dim_severity", star.dim_severity(facts.select(F.col(severity).alias("severity"))))
+    hours = stored("dim_time", star.dim_time(facts, ts))
+
+    holder = facts if crews is None else crews
+    by_place = [c for c in ("zone", "district", "city", "lat", "lon") if c in places.columns]
+    by_unit = [c for c in ("unit_name", "unit_type", "base_station") if c in units.columns]
+    placed = star.lookup(holder, location, "location_id", **{c: c for c in by_place})
+    placed = star.lookup(placed, unit, "unit_id", **{c: c for c in by_unit})
+    if crews is not None:
+        fact_column, crew_column = on
+        ids = placed.select(F.col(crew_column).alias("_crew"), "location_id", "unit_id")
+        placed = facts.join(ids, F.col(fact_column) == F.col("_crew"), "left")
+    ready = star.lookup(placed, grade, "severity_id", severity=severity)
+    fact = stored("fact_incidents", star.fact(ready, key, ts, seconds, outcome))
+    return {
+        "fact_incidents": fact, "dim_time": hours, "dim_location": location,
+        "dim_unit": unit, "dim_severity": grade,
+    }
