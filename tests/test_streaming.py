@@ -2,6 +2,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -141,13 +142,32 @@ def test_repeated_batch_replaces_its_output(spark, path):
 def test_three_named_queries(spark, places):
     topic, out, checkpoint = places
     publish(spark, topic, [alert(1, 0), alert(2, 31, severity="low", response=9000.0)])
-    queries = run.start_all(decoded_stream(spark, topic), out, checkpoint)
-    try:
-        assert sorted(q.name for q in queries) == ["anomaly_detector", "severity_breakdown", "zone_activity"]
-        for q in queries:
-            q.processAllAvailable()
-    finally:
-        for q in queries:
-            q.stop()
+    queries = run.start_all(decoded_stream(spark, topic), out, checkpoint, trigger=run.AVAILABLE_NOW)
+    assert sorted(q.name for q in queries) == ["anomaly_detector", "severity_breakdown", "zone_activity"]
+    for q in queries:
+        q.awaitTermination()
     assert spark.read.parquet(f"{out}/anomaly_detector").count() == 2
     assert spark.read.parquet(f"{out}/zone_activity").agg(F.sum("incident_count")).first()[0] == 2
+
+
+def test_interval_trigger(spark, places):
+    topic, out, checkpoint = places
+    publish(spark, topic, [alert(1, 0)])
+    query = run.start(decoded_stream(spark, topic), out, checkpoint, "append", trigger="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_console(spark, places, capfd):
+    topic, _, checkpoint = places
+    publish(spark, topic, [alert(1, 0)])
+    run.start_console(decoded_stream(spark, topic), checkpoint, "append", name="watch").awaitTermination()
+    assert "i1" in capfd.readouterr().out
+
+
+def test_broker_source_asks_for_its_connector(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        messages.kafka_stream(spark, "localhost:9092", "emergency-alerts")

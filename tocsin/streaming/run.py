@@ -5,12 +5,10 @@ restart or a lost executor.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tocsin import schemas
 from tocsin.operators import reports
@@ -21,19 +19,10 @@ from tocsin.streaming import alerts as frames
 AVAILABLE_NOW = "available now"
 
 
-def _started(
-    frame: DataFrame,
-    write_batch: Callable[[DataFrame, int], None],
-    mode: str,
-    checkpoint: str,
-    trigger: str,
-    name: str | None,
+def _launch(
+    writer: DataStreamWriter, mode: str, checkpoint: str, trigger: str, name: str | None
 ) -> StreamingQuery:
-    writer = (
-        frame.writeStream.outputMode(mode)
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = writer.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     when = {"availableNow": True} if trigger == AVAILABLE_NOW else {"processingTime": trigger}
@@ -57,20 +46,35 @@ def start(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    return _started(frame, write_batch, mode, checkpoint, trigger, name)
+    return _launch(frame.writeStream.foreachBatch(write_batch), mode, checkpoint, trigger, name)
+
+
+def start_console(
+    frame: DataFrame,
+    checkpoint: str,
+    mode: str = "update",
+    trigger: str = AVAILABLE_NOW,
+    name: str | None = None,
+    rows: int = 20,
+) -> StreamingQuery:
+    """Show the first rows of each micro-batch, for watching a stream by hand."""
+    shown = frame.writeStream.format("console").options(truncate="false", numRows=str(rows))
+    return _launch(shown, mode, checkpoint, trigger, name)
 
 
-def start_all(alerts: DataFrame, out: str, checkpoint: str) -> list[StreamingQuery]:
-    """The three standing queries with their trigger intervals. Wait for them with
-    ``spark.streams.awaitAnyTermination()``."""
+def start_all(
+    alerts: DataFrame, out: str, checkpoint: str, trigger: str | None = None
+) -> list[StreamingQuery]:
+    """The three standing queries, each at its own interval unless ``trigger`` sets
+    one for all. Wait for them with ``spark.streams.awaitAnyTermination()``."""
     plans = [
         ("zone_activity", frames.zone_counts(alerts), "update", "15 seconds"),
         ("anomaly_detector", reports.anomalies(alerts), "append", "10 seconds"),
         ("severity_breakdown", frames.severity_breakdown(alerts), "update", "20 seconds"),
     ]
     return [
-        start(frame, f"{out}/{name}", f"{checkpoint}/{name}", mode, trigger, name)
-        for name, frame, mode, trigger in plans
+        start(frame, f"{out}/{name}", f"{checkpoint}/{name}", mode, trigger or interval, name)
+        for name, frame, mode, interval in plans
     ]
 
 
@@ -108,7 +112,7 @@ def start_ingest(
             reports.dispatches(kept).write.mode("overwrite").parquet(f"{out}/dispatches/{part}")
             reports.alert_stats(kept).write.mode("overwrite").parquet(f"{out}/stats/{part}")
 
-    return _started(alerts, write_batch, "append", checkpoint, trigger, name)
+    return _launch(alerts.writeStream.foreachBatch(write_batch), "append", checkpoint, trigger, name)
 
 
 _ARRIVED = T.StructType([*schemas.STORED_ALERT.fields, T.StructField("ingest_time", T.TimestampType())])
