@@ -29,7 +29,7 @@ def rank_by(df: DataFrame, value: str, name: str, buckets: int = 256) -> DataFra
     """
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = values.agg(F.percentile_approx(value, steps)).scalar()
+    cuts = values.agg(F.percentile_approx(value, steps, 8 * buckets)).scalar()
     lower_cuts = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     bucket = F.when(F.col(value).isNull(), -1).otherwise(lower_cuts)
     bucketed = values.withColumn("_cuts", cuts).withColumn("_bucket", bucket).drop("_cuts")

@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -96,21 +98,23 @@ class SnapshotTable:
         last = self._entry(None)
         if done := self._done(run_id):
             return done["version"]
-        df = self._parts(last).withColumn("_hit", F.lit(False))
+        before = self._parts(last)
+        # The first rule to match a row sees it unchanged, so a row changes exactly if
+        # some condition holds on its old values. That test can reach the file scan.
+        hit = reduce(or_, [F.expr(condition) for condition, _ in rules])
+        # Partition numbers only: as many as there are writes, not rows.
+        touched = [row[0] for row in before.filter(hit).select(_VERSION).distinct().collect()]
+        if not touched:
+            return last["version"]
+        df = before.filter(F.col(_VERSION).isin(touched)).drop(_VERSION).withColumn("_hit", hit)
         for condition, settings in rules:
-            hit = F.coalesce(F.expr(condition), F.lit(False))
             changed = {
-                c: F.when(hit, F.expr(value).cast(df.schema[c].dataType)).otherwise(F.col(c))
+                c: F.when(F.expr(condition), F.expr(value).cast(df.schema[c].dataType)).otherwise(F.col(c))
                 for c, value in settings.items()
             }
-            df = df.withColumns({**changed, "_hit": F.col("_hit") | hit})
-        # Partition numbers only: as many as there are writes, not rows.
-        touched = [row[0] for row in df.filter("_hit").select(_VERSION).distinct().collect()]
-        if not touched:
-            return last["version"]
-        rows = df.filter(F.col(_VERSION).isin(touched)).drop(_VERSION)
+            df = df.withColumns(changed)
         kept = [part for part in last["parts"] if part not in touched]
-        return self._commit(rows, last, "UPDATE", kept, run_id)
+        return self._commit(df, last, "UPDATE", kept, run_id)
 
     # -- inside ----------------------------------------------------------
 

@@ -139,13 +139,14 @@ def load_star(
     and the facts are shuffled for one join only.
     """
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        return files.replace_table(df, f"{root}/{name}")
-
-    location = stored("dim_location", star.dim_location(places))
-    unit = stored("dim_unit", star.dim_unit(units))
-    grade = stored("dim_severity", star.dim_severity(facts.select(F.col(severity).alias("severity"))))
-    hours = stored("dim_time", star.dim_time(facts, ts))
+    location, unit, grade, hours = files.replace_tables(
+        {
+            f"{root}/dim_location": star.dim_location(places),
+            f"{root}/dim_unit": star.dim_unit(units),
+            f"{root}/dim_severity": star.dim_severity(facts.select(F.col(severity).alias("severity"))),
+            f"{root}/dim_time": star.dim_time(facts, ts),
+        }
+    ).values()
 
     holder = facts if crews is None else crews
     by_place = [c for c in ("zone", "district", "city", "lat", "lon") if c in places.columns]
@@ -157,7 +158,7 @@ def load_star(
         ids = placed.select(F.col(crew_column).alias("_crew"), "location_id", "unit_id")
         placed = facts.join(ids, F.col(fact_column) == F.col("_crew"), "left")
     ready = star.lookup(placed, grade, "severity_id", severity=severity)
-    fact = stored("fact_incidents", star.fact(ready, key, ts, seconds, outcome))
+    fact = files.replace_table(star.fact(ready, key, ts, seconds, outcome), f"{root}/fact_incidents")
     return {
         "fact_incidents": fact, "dim_time": hours, "dim_location": location,
         "dim_unit": unit, "dim_severity": grade,
