@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -46,3 +49,11 @@ def shared_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other call gets."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, *actions: Callable[[], object]) -> list:
+    """Run independent actions side by side, so that small jobs overlap on the
+    cluster. Results come in order; the first failure is raised once all are done."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    return [job.result() for job in waiting]

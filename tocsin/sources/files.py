@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tocsin.session import together
+
 # Outer spaces survive a round trip; quotes are doubled as most CSV tools do.
 _CSV = {
     "header": "true",
@@ -57,11 +59,10 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def replace_tables(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """``replace_table`` for several paths at once: their jobs run side by side, so
-    small tables do not leave the cluster idle one after another."""
-    with ThreadPoolExecutor(len(frames)) as pool:
-        stored = pool.map(replace_table, frames.values(), frames.keys())
-        return dict(zip(frames, stored))
+    """``replace_table`` for several independent paths at once."""
+    spark = next(iter(frames.values())).sparkSession
+    stored = together(spark, *[partial(replace_table, df, path) for path, df in frames.items()])
+    return dict(zip(frames, stored))
 
 
 def append_run(df: DataFrame, path: str, run_id: str) -> None:

@@ -5,6 +5,8 @@ restart or a lost executor.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from tocsin import schemas
 from tocsin.operators import reports
 from tocsin.operators.layout import cached
 from tocsin.operators.tables import latest_per_key
+from tocsin.session import together
 from tocsin.streaming import alerts as frames
 
 AVAILABLE_NOW = "available now"
@@ -106,11 +109,20 @@ def start_ingest(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
         with cached(batch) as kept:
-            _store(kept).write.mode("overwrite").parquet(f"{out}/alerts/{part}")
-            log = kept.drop("ingest_time", "event_time")
-            log.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{out}/log/{part}")
-            reports.dispatches(kept).write.mode("overwrite").parquet(f"{out}/dispatches/{part}")
-            reports.alert_stats(kept).write.mode("overwrite").parquet(f"{out}/stats/{part}")
+            outputs = {
+                "alerts": _store(kept),
+                "dispatches": reports.dispatches(kept),
+                "stats": reports.alert_stats(kept),
+            }
+            log = kept.drop("ingest_time", "event_time").write.option("ignoreNullFields", "false")
+            together(
+                batch.sparkSession,
+                partial(log.mode("overwrite").json, f"{out}/log/{part}"),
+                *[
+                    partial(df.write.mode("overwrite").parquet, f"{out}/{output}/{part}")
+                    for output, df in outputs.items()
+                ],
+            )
 
     return _launch(alerts.writeStream.foreachBatch(write_batch), "append", checkpoint, trigger, name)
 
