@@ -104,3 +104,29 @@ def test_snapshot_read_prunes_to_its_parts(spark, path):
 
 def test_top_rows_keep_n_per_task(large):
     assert "TakeOrderedAndProject" in plan(reports.top_rows(large, 5, "response_time"))
+
+
+def test_hot_unit_is_split_in_the_shuffled_lookup(spark):
+    rows = spark.range(0, 200000, numPartitions=8)
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 500))
+    facts = rows.select(F.col("id").alias("incident_id"), hot.alias("unit_name"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    dim = star.dim_unit(facts.select("unit_name"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        joined = star.lookup(facts, dim, "unit_id", unit_name="unit_name")
+        assert joined.filter("unit_id IS NOT NULL AND pad IS NOT NULL").count() == 200000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        final = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in final
