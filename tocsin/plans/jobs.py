@@ -26,21 +26,21 @@ def cleaned(df: DataFrame, column: str = "response_time", key: str = "incident_i
     lacks its value.
     """
     value, kept = F.col(column), F.col(key).isNotNull()
-    stats = df.agg(
-        F.struct(
-            F.avg(value).alias("mean"),
-            F.min(F.when(kept, value)).alias("low"),
-            F.max(F.when(kept, value)).alias("high"),
-            F.bool_or(kept & value.isNull()).alias("imputed"),
-        )
+    measured = df.agg(
+        F.avg(value).alias("mean"),
+        F.min(F.when(kept, value)).alias("low"),
+        F.max(F.when(kept, value)).alias("high"),
+        F.bool_or(kept & value.isNull()).alias("imputed"),
+    )
+    imputed = F.when(F.col("imputed"), F.col("mean"))
+    stats = measured.select(
+        F.struct("mean", F.least("low", imputed).alias("low"), F.greatest("high", imputed).alias("high"))
     ).scalar()
-    mean = stats.getField("mean")
-    as_bound = F.when(stats.getField("imputed"), mean)
-    low = F.least(stats.getField("low"), as_bound)
-    high = F.greatest(stats.getField("high"), as_bound)
-    filled = ops.drop_null_key(df, key).withColumn(column, F.coalesce(value, mean))
-    scaled = filled.withColumn(f"{column}_normalized", ops.scaled(value, low, high))
-    return ops.validate_in(scaled)
+    # As a column, so that the plan holds the subquery once and not per use.
+    rows = ops.drop_null_key(df, key).withColumn("_stats", stats)
+    filled = rows.withColumn(column, F.coalesce(value, F.col("_stats.mean")))
+    scaled = ops.scaled(value, F.col("_stats.low"), F.col("_stats.high"))
+    return ops.validate_in(filled.withColumn(f"{column}_normalized", scaled).drop("_stats"))
 
 
 def clean(df: DataFrame, out: str) -> DataFrame:
