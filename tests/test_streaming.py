@@ -131,6 +131,27 @@ def test_ingest_stores_logs_dispatches_and_counts(spark, places):
     assert sum(n for (d, _), n in totals.items() if d == "zone") == 6
 
 
+def test_folding_changes_no_stored_alert(spark, places):
+    topic, out, checkpoint = places
+
+    def take_in(*bodies):
+        publish(spark, topic, bodies)
+        run.start_ingest(decoded_stream(spark, topic), out, checkpoint).awaitTermination()
+
+    take_in(alert(1, 0, severity="low"), alert(2, 0), "broken")
+    assert run.fold_alerts(spark, out) == -1
+    take_in(alert(1, 5, severity="high"))
+    assert run.fold_alerts(spark, out) == 0
+    take_in(alert(2, 9, zone="West"), alert(3, 9), "broken")
+    before = rows_of(run.stored_alerts(spark, out))
+    assert run.fold_alerts(spark, out) == 1
+    assert run.fold_alerts(spark, out) == 1
+    assert rows_of(run.stored_alerts(spark, out)) == before
+    assert rows_of(run.stored_alerts(spark, out), "incident_id", "severity", "zone") == [
+        (None, None, None), (None, None, None), ("i1", "high", "North"), ("i2", "critical", "West"), ("i3", "critical", "North"),
+    ]
+
+
 def test_repeated_batch_replaces_its_output(spark, path):
     out = path("out")
     df = spark.range(3)

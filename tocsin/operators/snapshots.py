@@ -56,6 +56,11 @@ class SnapshotTable:
     def latest_version(self) -> int:
         return self._entry(None)["version"]
 
+    def last_run_id(self) -> str | None:
+        """Run id of the newest version, None also when there is no version."""
+        last = self._last()
+        return last["run_id"] if last else None
+
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or the table as it was at ``version``."""
         entry = self._entry(version)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tocsin import schemas
 from tocsin.operators import reports
 from tocsin.operators.layout import cached
+from tocsin.operators.snapshots import SnapshotTable
 from tocsin.operators.tables import latest_per_key
 from tocsin.session import together
 from tocsin.streaming import alerts as frames
@@ -131,19 +132,43 @@ _ARRIVED = T.StructType([*schemas.STORED_ALERT.fields, T.StructField("ingest_tim
 
 
 def _store(batch: DataFrame) -> DataFrame:
+    return _settled(batch.select(_ARRIVED.names), ["ingest_time"])
+
+
+def _settled(rows: DataFrame, order: list[str]) -> DataFrame:
     """Last arrival per key. Rows without a key match nothing, so all are kept."""
-    rows = batch.select(_ARRIVED.names)
-    keyed = latest_per_key(rows.filter("incident_id IS NOT NULL"), ["incident_id"], ["ingest_time"])
+    keyed = latest_per_key(rows.filter("incident_id IS NOT NULL"), ["incident_id"], order)
     return keyed.unionByName(rows.filter("incident_id IS NULL"))
 
 
+def _arrivals(spark: SparkSession, out: str) -> tuple[DataFrame, SnapshotTable, int]:
+    """What is left to settle: the folded table and the batches after it."""
+    folded = SnapshotTable(spark, f"{out}/folded")
+    last = int(folded.last_run_id() or -1)
+    rows = written(spark, f"{out}/alerts", _ARRIVED).filter(F.col("batch_id") > last)
+    return (rows if last < 0 else folded.read().unionByName(rows)), folded, last
+
+
 def stored_alerts(spark: SparkSession, out: str) -> DataFrame:
     """One row per alert key, the last arrival over all batches."""
-    rows = written(spark, f"{out}/alerts", _ARRIVED)
-    keyed = latest_per_key(
-        rows.filter("incident_id IS NOT NULL"), ["incident_id"], ["batch_id", "ingest_time"]
-    )
-    return keyed.unionByName(rows.filter("incident_id IS NULL")).select(schemas.STORED_ALERT.names)
+    rows, _, _ = _arrivals(spark, out)
+    return _settled(rows, ["batch_id", "ingest_time"]).select(schemas.STORED_ALERT.names)
+
+
+def fold_alerts(spark: SparkSession, out: str) -> int:
+    """Settle finished batches into a versioned table, so that ``stored_alerts`` need
+    only settle later ones. Returns the last batch folded, -1 for none.
+
+    Call it now and then beside a running intake: it leaves out the newest batch,
+    which may still be in the writing.
+    """
+    rows, folded, last = _arrivals(spark, out)
+    finished = written(spark, f"{out}/alerts", _ARRIVED).agg(F.max("batch_id")).first()[0] - 1
+    if finished <= last:
+        return last
+    settled = _settled(rows.filter(F.col("batch_id") <= finished), ["batch_id", "ingest_time"])
+    folded.overwrite(settled, run_id=str(finished))
+    return finished
 
 
 def alert_totals(spark: SparkSession, out: str) -> DataFrame:
