@@ -193,4 +193,4 @@ def test_console(spark, places):
 
 def test_broker_source_asks_for_its_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
-        messages.kafka_stream(spark, "localhost:9092", "emergency-alerts")
+        messages.kafka_stream(spark, "localhost:9092", "alerts")

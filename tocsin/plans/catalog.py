@@ -51,11 +51,6 @@ def zone_free(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
 
 
-def zoned(df: DataFrame) -> DataFrame:
-    stamps = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
-
-
 # The two halves of the table that keyed and versioned writes work on.
 def _old(df: DataFrame) -> DataFrame:
     return df.filter(F.col("incident_type").isin("click", "view"))

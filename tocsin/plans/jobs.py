@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.functions import scalar
 from tocsin.operators import clean as ops
 from tocsin.operators import quality, reports, star
 from tocsin.operators.snapshots import SnapshotTable
