@@ -102,8 +102,9 @@ def rolling(words: np.ndarray, width: int) -> np.ndarray:
     """
     if len(words) < width:
         return np.empty(0, np.uint64)
-    done, have, step, power, reach = None, 0, words, BASE, 1
+    done, have, step, reach = None, 0, words, 1
     while reach <= width:
+        power = np.uint64(pow(int(BASE), reach, 1 << 64))
         if width & reach:
             if done is None:
                 done, have = step, reach
@@ -112,6 +113,5 @@ def rolling(words: np.ndarray, width: int) -> np.ndarray:
                 done, have = done[: len(tail)] * power + tail, have + reach
         if 2 * reach <= width:
             step = step[:-reach] * power + step[reach:]
-            power = power * power
         reach *= 2
     return mixed(done)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import line_dedup
+from tocsin.llm import line_dedup, substring_dedup
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,9 @@ FROM marked GROUP BY doc_id
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select(doc_id(), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=20)
+    return out.select(doc_id(), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
