@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import line_dedup, substring_dedup
+from tocsin.llm import line_dedup, ngram_join, substring_dedup
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=20)
     return out.select(doc_id(), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.link_groups(table(spark, sf_dir, "documents"), width=5, threshold=0.75)
+    return out.select(doc_id(), F.col("n").alias("n_shingles"), "component_id")
