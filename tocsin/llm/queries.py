@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import line_dedup, ngram_join, substring_dedup
+from tocsin.llm import line_dedup, ngram_join, phrase_index, substring_dedup
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,38 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.link_groups(table(spark, sf_dir, "documents"), width=5, threshold=0.75)
     return out.select(doc_id(), F.col("n").alias("n_shingles"), "component_id")
+
+
+LEAKS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS w
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+place AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+hit AS (
+  SELECT p.doc_id, p.i, win.n, win.item_id
+  FROM (SELECT doc_id, i, n, w[i:i + n - 1] AS w FROM place, (SELECT DISTINCT n FROM win) WHERE i + n - 1 <= len(w)) p
+  JOIN win ON p.w = win.w),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op4_decontamination", LEAKS_SQL)
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    return out.select(
+        doc_id(), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
