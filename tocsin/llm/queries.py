@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import line_dedup, ngram_join, phrase_index, substring_dedup
+from tocsin.llm import license_scan, line_dedup, ngram_join, phrase_index, substring_dedup
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc_id(), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op1_license_scan", license_scan.scan_sql())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    return out.select(
+        doc_id(), "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
