@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import license_scan, line_dedup, ngram_join, phrase_index, substring_dedup
+from tocsin.llm import license_scan, line_dedup, ngram_join, phrase_index, pu_toxicity, subword_quality, substring_dedup
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,21 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc_id(), "n_words", "n_base", "first_word", "last_word",
         F.array_join("base", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
     )
+
+
+@query("op5_pu_toxicity")
+def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = pu_toxicity.train(docs, labels, pu_toxicity.fold("doc_id", 3) != 1)
+    out = pu_toxicity.score(docs, model).withColumn("doc_id", doc_id())
+    held = pu_toxicity.fold("doc_id", 3) == 1
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_subword_quality")
+def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = subword_quality.train(docs, labels, pu_toxicity.fold("doc_id", 5) != 0)
+    out = subword_quality.score(docs, model).withColumn("doc_id", doc_id())
+    held = pu_toxicity.fold("doc_id", 5) == 0
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
