@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import license_scan, line_dedup, ngram_join, phrase_index, pu_toxicity, subword_quality, substring_dedup
+from tocsin.llm import license_scan, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +135,11 @@ def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = subword_quality.score(docs, model).withColumn("doc_id", doc_id())
     held = pu_toxicity.fold("doc_id", 5) == 0
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, window=2048))
