@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A document is the set of its words; a word's features are the word and its first
-three to five letters. A linear model is trained with numpy from confirmed toxic
+four to six letters. A linear model is trained with numpy from confirmed toxic
 documents P and a sample U of all text, whose labels are never looked at. With the
 class prior p of toxic text the risk is
 
@@ -34,7 +34,7 @@ from tocsin.llm.common import ID, KEYS, MARK, TEXT, keyed, map_arrow, slices
 
 #: ASCII that is no letter or digit parts words.
 APART = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
-LENGTHS = (3, 4, 5)
+LENGTHS = (4, 5, 6)
 
 
 def words(text: bytes) -> set[bytes]:
@@ -89,8 +89,9 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], sure: float) -> np.ndarray:
-    """Features whose shares of P and of U differ by ``sure`` standard errors or more.
+def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], sure: float, lift: float = 2.0) -> np.ndarray:
+    """Features whose shares of P and of U differ by ``sure`` standard errors or more
+    and by the factor ``lift``, which longer texts alone don't reach.
 
     At zero weights the risk's gradient is the prior times this difference, so these
     are the features that the soft threshold would let through at first.
@@ -102,22 +103,18 @@ def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], sure: flo
     share[0, np.searchsorted(names, p)] = in_p / len(positive)
     share[1, np.searchsorted(names, u)] = in_u / len(unlabelled)
     error = np.sqrt(share[0] / len(positive) + share[1] / len(unlabelled))
-    return names[np.abs(share[0] - share[1]) > sure * error]
+    apart = share.max(axis=0) > lift * share.min(axis=0)
+    return names[apart & (np.abs(share[0] - share[1]) > sure * error)]
 
 
-def fit(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4, sure: float = 4.0
-) -> tuple[dict[int, float], float]:
-    """Weights by feature and the bias: full-batch Adam on the non-negative risk.
-
-    With few examples even what all of them share is no ``sure`` errors from chance,
-    so less is asked for.
-    """
-    names = _telling(positive, unlabelled, min(sure, len(positive) ** 0.5 / 2))
-    docs = [np.intersect1d(d, names, assume_unique=True) for d in positive + unlabelled]
+def _descend(
+    docs: list[np.ndarray], n_p: int, names: np.ndarray, prior: float, steps: int, rate: float, decay: float
+) -> tuple[np.ndarray, float]:
+    """Full-batch Adam on the non-negative risk; the first ``n_p`` documents are P."""
+    docs = [np.intersect1d(d, names, assume_unique=True) for d in docs]
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     col = np.searchsorted(names, np.concatenate(docs))
-    n_p, n_u, n = len(positive), len(unlabelled), len(docs)
+    n, n_u = len(docs), len(docs) - n_p
     w, b = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
     mean, square = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, steps + 1):
@@ -136,6 +133,24 @@ def fit(
         square += 0.01 * (grad**2 - square)
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
         w, b = w - move[:-1], b - move[-1]
+    return w, b
+
+
+def fit(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, rate: float = 0.05, decay: float = 3e-5, sure: float = 4.0, weak: float = 0.15
+) -> tuple[dict[int, float], float]:
+    """Weights by feature and the bias.
+
+    With few examples even what all of them share is no ``sure`` errors from chance,
+    so less is asked for. Features whose weight is under ``weak`` of the largest are
+    dropped and the rest is fitted anew, since a long text has many of them.
+    """
+    names = _telling(positive, unlabelled, min(sure, len(positive) ** 0.5 / 2))
+    docs = positive + unlabelled
+    for _ in range(2):
+        w, _ = _descend(docs, len(positive), names, prior, steps, rate, decay)
+        names = names[np.abs(w) >= weak * np.abs(w).max(initial=0)]
+    w, b = _descend(docs, len(positive), names, prior, 3 * steps, rate, decay)
     return dict(zip(names.tolist(), w.tolist(), strict=True)), float(b)
 
 
