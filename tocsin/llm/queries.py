@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import license_scan, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup
+from tocsin.llm import license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup, url_filter
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,17 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, window=2048))
+
+
+@query("op7_line_crf")
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = line_crf.judge(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+    return out.select(
+        doc_id(), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content"
+    )
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
