@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, TEXT, keyed, map_arrow, slices
+from tocsin.llm.common import ID, MARK, TEXT, keyed, map_arrow, slices
 
 #: ASCII that is no letter or digit parts words.
 APART = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
@@ -198,6 +198,22 @@ def score(docs: DataFrame, model: tuple[dict[int, float], float] | None, id_col:
     return map_arrow(keyed(docs, id_col, text_col), make, f"{ID} long, {MARK} int, score double")
 
 
+def keep(docs: DataFrame, model: tuple[dict[int, float], float] | None, reject: float, text_col: str = "text") -> DataFrame:
+    """The rows that score under ``reject``, with their columns as they are. Nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, bias = shared.value or ({}, -np.inf)
+        cache = Weights(weight)
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            z = np.array([sum(map(cache.__getitem__, words(t or b""))) + bias for t in texts], float)
+            yield batch.filter(pa.array(_sigmoid(z) < reject))
+
+    return docs.mapInArrow(make, docs.schema)
+
+
 def fold(id_col: str, parts: int) -> Column:
     """The contract's fold of a row: crc32 of the id as text, modulo ``parts``; 0 without an id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts, F.lit(0))
