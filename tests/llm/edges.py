@@ -10,7 +10,7 @@ def rows():
     out = [
         (1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "One\nTWO\n one "), (6, RUN), (7, RUN), (8, "x " + RUN + " y"),
         (9, "a " * 200), (10, "b " * 30000), (None, RUN + " tail"), (None, "one\nline"), (11, "same text"), (11, "same text"),
-        (11, "other text " + RUN), (-5, RUN.upper()), (12, "é É ß   x\x0by\x1cz\nÉ"), (13, RUN), (14, "\n\n\n"),
+        (11, "other text " + RUN), (-5, RUN.upper()), (12, "é É ß   x\x0by\x1cz\nÉ"), (13, RUN), (13, RUN), (14, "\n\n\n"),
     ]
     out += [(100 + i, f"Shared Line  \nown {i}\n\tshared line") for i in range(12)]
     return [(i, t, None if i == 3 else "en", "src", None, "clash", None) for i, t in out]

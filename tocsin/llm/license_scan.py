@@ -116,7 +116,7 @@ def blocks(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
 def matches(
     docs: DataFrame,
     templates: list[tuple[str, str]],
-    threshold: float = 0.8,
+    threshold: float = 0.9,
     block_words: int = 64,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -150,7 +150,7 @@ def scan(
     docs: DataFrame,
     phrases: dict[str, str] | None = None,
     templates: list[tuple[str, str]] | None = None,
-    threshold: float = 0.8,
+    threshold: float = 0.9,
     block_words: int = 64,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -174,7 +174,7 @@ def scan_sql() -> str:
     low = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     find = f"regexp_extract_all({low}, '{WORD}')"
     sets = [(label, tokens(text)) for label, text in TEMPLATES]
-    rows = ", ".join(f"('{label}', {ts!r}, {len(ts)}, {ceil(80 * len(ts) / 100)})" for label, ts in sets)
+    rows = ", ".join(f"('{label}', {ts!r}, {len(ts)}, {ceil(90 * len(ts) / 100)})" for label, ts in sets)
     phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in PHRASES.items())
     return f"""
 WITH d AS (SELECT doc_id, {find.format('text')} AS w FROM documents),

@@ -146,16 +146,10 @@ def distinct_lines(docs: DataFrame, min_chars: int, id_col: str = "doc_id", text
     return map_arrow(keyed(docs, id_col, text_col), make, f"{ID} long, {MARK} int, lines array<long>")
 
 
-def drop_frequent_lines(
-    docs: DataFrame,
-    min_docs: int = 10,
-    min_chars: int = 1,
-    batches: int = 3,
-    buckets: int | None = None,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def frequent_lines(
+    docs: DataFrame, min_docs: int, min_chars: int, batches: int = 3, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Row keys, ``n_lines``, ``n_dropped`` and the kept text of every row.
+    """Row keys and ``frequent``, the hashes of a document's lines that are to go.
 
     Hashes of all lines are written once; batches of them, parted by row key, go
     through the store. Frequent lines come back to their documents by a join on the
@@ -163,34 +157,45 @@ def drop_frequent_lines(
     is never longer than the document.
     """
     spark = docs.sparkSession
-    min_chars = max(1, min_chars)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     batch = F.pmod(F.xxhash64(ID, MARK), F.lit(batches)).cast("int")
     hashed = stored(distinct_lines(docs, min_chars, id_col, text_col).withColumn("batch", batch), "lines")
     store = LineRuns(spark, buckets)
     for n in range(batches):
         store.add(hashed.filter(F.col("batch") == n).select(F.explode("lines").alias("line")))
-    found = (
-        hashed.select(*KEYS, F.explode("lines").alias("line"))
-        .join(store.frequent(min_docs), "line", "left_semi")
-        .groupBy(*KEYS)
-        .agg(F.collect_set("line").alias("frequent"))
-    )
+    gone = stored(store.frequent(min_docs), "frequent")
+    store.close()
+    found = hashed.select(*KEYS, F.explode("lines").alias("line")).join(gone, "line", "left_semi")
+    return found.groupBy(*KEYS).agg(F.collect_set("line").alias("frequent"))
+
+
+def without(text: bytes, frequent: list[int] | None, min_chars: int) -> list[bytes]:
+    """The lines that stay."""
+    lines = text.split(b"\n")
+    if not frequent:
+        return lines
+    gone = set(frequent)
+    return [r for r, k in zip(lines, line_keys(text), strict=True) if not long_enough(k, min_chars) or line_hash(k) not in gone]
+
+
+def drop_frequent_lines(
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Row keys, ``n_lines``, ``n_dropped`` and the kept text of every row."""
+    min_chars = max(1, min_chars)
+    found = frequent_lines(docs, min_docs, min_chars, batches, None, id_col, text_col)
     rows = keyed(docs, id_col, text_col).join(found, KEYS, "left").select(*KEYS, TEXT, "frequent")
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            kept, lines, dropped = [], [], []
-            for text, frequent in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                rows = text.split(b"\n")
-                lines.append(len(rows))
-                if frequent:
-                    gone = set(frequent)
-                    rows = [r for r, k in zip(rows, line_keys(text), strict=True) if not long_enough(k, min_chars) or line_hash(k) not in gone]
-                    text = b"\n".join(rows)
-                dropped.append(lines[-1] - len(rows))
-                kept.append(text)
-            arrays = [pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.binary())]
+            texts = part.column(2).to_pylist()
+            kept = [without(t, f, min_chars) for t, f in zip(texts, part.column(3).to_pylist(), strict=True)]
+            lines = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+            arrays = [
+                pa.array(lines),
+                pa.array(lines - np.array([len(k) for k in kept], np.int64)),
+                pa.array([b"\n".join(k) for k in kept], pa.binary()),
+            ]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), *arrays], [ID, MARK, "n_lines", "n_dropped", "kept"]
             )
@@ -200,13 +205,19 @@ def drop_frequent_lines(
     )
 
 
-def clean(docs: DataFrame, min_docs: int = 10, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The same rows and columns with frequent lines taken out of the text.
+def clean(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same rows and columns with frequent lines taken out of the text; a null text stays null."""
+    min_chars = max(1, min_chars)
+    found = frequent_lines(docs, min_docs, min_chars, id_col=id_col, text_col=text_col)
+    rows = with_keys(docs, id_col, text_col).join(found.withColumnRenamed("frequent", "__frequent"), KEYS, "left")
+    at = docs.columns.index(text_col)
+
+    def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            columns = part.columns
+            texts = columns[at].cast(pa.binary()).to_pylist()
+            kept = [t and b"\n".join(without(t, f, min_chars)) for t, f in zip(texts, columns[-1].to_pylist(), strict=True)]
+            columns[at] = pa.array(kept, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(columns[:-1], part.schema.names[:-1])
 
-    A row whose text is null keeps it. Rows are matched by id and text; rows equal in
-    both get equal results, so one of their results is taken.
-    """
-    kept = drop_frequent_lines(docs, min_docs, id_col=id_col, text_col=text_col).dropDuplicates(KEYS)
-    joined = with_keys(docs, id_col, text_col).join(kept.select(*KEYS, F.col("kept").alias("__kept")), KEYS, "left")
-    changed = F.when(F.col(text_col).isNotNull(), F.col("__kept")).alias(text_col)
-    return joined.select(*[changed if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "__frequent").mapInArrow(make, docs.schema)

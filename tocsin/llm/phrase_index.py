@@ -60,7 +60,7 @@ def _local_joins(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def test_windows(items: DataFrame, width: int, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def item_windows(items: DataFrame, width: int, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``window, item, len, off, term``: a row for each word of each window."""
     own = items.select(F.col(item_col).alias("item"), F.transform(words(F.col(text_col)), folded).alias("w")).filter(F.size("w") > 0)
     starts = own.select("item", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - width, F.lit(0)))).alias("s"))
@@ -133,8 +133,9 @@ class PhraseIndex:
                 return held.join(asked.hint("shuffle_hash"), [*KEYS, "term", "pos"])
 
             columns = [*KEYS, "window", "len", "start"]
-            second = there(starts.filter("len > 1"), terms.filter("rank = 2")).select(*columns)
-            rest = there(second.filter("len > 2"), terms.filter("rank > 2"))
+            # A row that the table holds twice has its postings twice.
+            second = there(starts.filter("len > 1"), terms.filter("rank = 2")).select(*columns).distinct()
+            rest = there(second.filter("len > 2"), terms.filter("rank > 2")).select(*columns, "pos").distinct()
             whole = rest.groupBy(*columns).agg(F.count("*").alias("m")).filter("m = len - 2").select(*columns)
             found = starts.filter("len = 1").select(*columns).union(second.filter("len = 2")).union(whole)
             return stored(found, "phrases")
@@ -164,7 +165,7 @@ def contamination(
     docs: DataFrame, items: DataFrame, width: int = 10, item_col: str = "item_id", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Row keys, ``n_words``, ``n_hit`` and the sorted ``items`` (as strings) of every row."""
-    windows = stored(test_windows(items, width, item_col), "windows")
+    windows = stored(item_windows(items, width, item_col), "windows")
     index = PhraseIndex(docs, windows, id_col=id_col, text_col=text_col)
     hits = index.phrases(windows)
     by = Window.partitionBy(*KEYS).orderBy("start", "len")
