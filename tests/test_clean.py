@@ -124,3 +124,16 @@ def test_iso_text_keeps_microseconds(spark):
     assert df.select(scalar.iso_text("t")).first()[0] == "2024-01-01T00:00:07.179575"
     assert df.select(scalar.hour_key("t")).first()[0] == 2024010100
     assert rows_of(df.select(F.lit(1))) == [(1,)]
+
+
+def test_nan_counts_as_missing(spark):
+    from tocsin.operators import quality
+
+    df = spark.createDataFrame([("a", float("nan")), ("b", 1.0), ("c", 3.0), ("d", None)], "incident_id string, response_time double")
+    filled = {r["incident_id"]: r["response_time"] for r in clean.impute_mean(df).collect()}
+    assert filled == {"a": 2.0, "b": 1.0, "c": 3.0, "d": 2.0}
+    scaled = {r["incident_id"]: r["response_time_normalized"] for r in clean.minmax_scale(df).collect()}
+    assert scaled == {"a": None, "b": 0.0, "c": 1.0, "d": None}
+    assert clean.zscore_outliers(df).count() == 0
+    bad = {(r["check"], r["column_name"]): r["bad_rows"] for r in quality.report(df).collect()}
+    assert bad["nulls", "response_time"] == 2 and bad["above_range", "response_time"] == 0 and bad["outliers", "response_time"] == 0

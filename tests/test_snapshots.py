@@ -116,3 +116,25 @@ def test_describe(spark, table):
     assert rows_of(table.describe(), "column_name", "column_type", "nulls") == [
         ("incident_id", "string", 0), ("severity", "string", 1),
     ]
+
+
+def test_changes_read_only_parts_that_differ(spark, path):
+    table = SnapshotTable(spark, path())
+    table.append(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    table.append(spark.createDataFrame([(3, "c")], "k long, v string"))
+    table.update(("k = 3", {"v": "'d'"}))
+    got = table.changes(1, 2)
+    assert sorted((r["k"], r["v"], r["rows_before"], r["rows_after"]) for r in got.collect()) == [(3, "c", 1, 0), (3, "d", 0, 1)]
+    read = {f.split("snapshot_version=")[1].split("/")[0] for f in got.inputFiles()}
+    assert read == {"1", "2"}
+
+
+def test_append_may_add_columns(spark, path):
+    table = SnapshotTable(spark, path())
+    table.append(spark.createDataFrame([(1, "a")], "k long, v string"))
+    wider = spark.createDataFrame([(2, 0.5)], "k long, extra double")
+    with pytest.raises(SchemaMismatch):
+        table.append(wider)
+    table.append(wider, evolve=True)
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a", None), (2, None, 0.5)]
+    assert table.read(0).columns == ["k", "v"]

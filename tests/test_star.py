@@ -1,5 +1,7 @@
 from datetime import date, datetime
 
+import pytest
+
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -62,3 +64,16 @@ def test_fact_without_match_keeps_its_row(spark):
     found = star.lookup(df, dim, "unit_id", unit_name="unit_name")
     assert found.count() == 60
     assert found.filter("unit_id IS NULL").count() == 15
+
+
+def test_repeated_crew_is_refused(spark, path):
+    facts = spark.createDataFrame([("i1", None, "low", 5.0, 1)], "incident_id string, timestamp timestamp, severity string, response_time double, crew int")
+    crews = spark.createDataFrame([(1, "North", "u1"), (1, "North", "u2")], "id int, zone string, unit_name string")
+    with pytest.raises(ValueError, match="repeats"):
+        jobs.load_star(facts, path(), crews.select("zone"), crews.select("unit_name"), crews, ("crew", "id"))
+
+
+def test_long_names_of_coordinates(spark):
+    df = spark.createDataFrame([("North", 40.5, -74.0)], "zone string, latitude double, longitude double")
+    row = star.dim_location(df).first()
+    assert (row["zone"], row["lat"], row["lon"]) == ("North", 40.5, -74.0)

@@ -110,25 +110,43 @@ def test_anomalies_stream_equals_batch_and_restart_adds_nothing(spark, places):
     assert got.count() == 2
 
 
+def traced_stream(spark, topic):
+    return alerts.decode_traced(messages.file_stream(spark, topic))
+
+
+def test_equal_times_are_ordered_by_offset(spark, places):
+    """Times are whole milliseconds, so only the offset tells which message came last."""
+    _, out, checkpoint = places
+    topic = f"{out}-topic"
+    rows = [("k", bytes(json.dumps({"incident_id": "i1", "zone": zone, "timestamp": when}), "utf-8"), START, 0, at)
+            for zone, when, at in (("First", "2026-09-01T00:00:00", 7), ("Last", "2026-01-01T00:00:00", 8))]
+    shape = "key string, value binary, timestamp timestamp, partition int, offset bigint"
+    spark.createDataFrame(rows, shape).write.parquet(topic)
+    stream = spark.readStream.schema(shape).parquet(topic)
+    run.start_ingest(alerts.decode_traced(stream), out, checkpoint).awaitTermination()
+    assert rows_of(run.stored_alerts(spark, out), "zone") == [("Last",)]
+
+
 def test_ingest_stores_logs_dispatches_and_counts(spark, places):
     topic, out, checkpoint = places
     later = START + timedelta(minutes=5)
     publish(spark, topic, [alert(1, 0, severity="low"), alert(2, 0, severity="low"), alert(1, 3, zone="East")])
-    run.start_ingest(decoded_stream(spark, topic), out, checkpoint).awaitTermination()
+    run.start_ingest(traced_stream(spark, topic), out, checkpoint).awaitTermination()
     publish(spark, topic, [alert(2, 9, zone="West", severity="high"), "broken", "broken"], later)
-    run.start_ingest(decoded_stream(spark, topic), out, checkpoint).awaitTermination()
+    run.start_ingest(traced_stream(spark, topic), out, checkpoint).awaitTermination()
 
     stored = run.stored_alerts(spark, out)
     assert stored.columns == schemas.STORED_ALERT.names
     assert rows_of(stored, "incident_id", "zone", "severity") == [
-        (None, None, None), (None, None, None), ("i1", "East", "critical"), ("i2", "West", "high"),
+        ("i1", "East", "critical"), ("i2", "West", "high"),
     ]
+    assert rows_of(run.rejected(spark, out), "raw", "batch_id") == [("broken", 1), ("broken", 1)]
     log = spark.read.json(f"{out}/log")
-    assert log.count() == 6 and "priority" in log.columns
+    assert log.count() == 4 and "priority" in log.columns
     assert rows_of(spark.read.parquet(f"{out}/dispatches"), "incident_id") == [("i1",)]
     totals = {(r["dimension"], r["value"]): r["alerts"] for r in run.alert_totals(spark, out).collect()}
-    assert totals[("severity", "low")] == 2 and totals[("severity", "unknown")] == 2
-    assert sum(n for (d, _), n in totals.items() if d == "zone") == 6
+    assert totals[("severity", "low")] == 2 and ("severity", "unknown") not in totals
+    assert sum(n for (d, _), n in totals.items() if d == "zone") == 4
 
 
 def test_folding_changes_no_stored_alert(spark, places):
@@ -136,8 +154,9 @@ def test_folding_changes_no_stored_alert(spark, places):
 
     def take_in(*bodies):
         publish(spark, topic, bodies)
-        run.start_ingest(decoded_stream(spark, topic), out, checkpoint).awaitTermination()
+        run.start_ingest(traced_stream(spark, topic), out, checkpoint).awaitTermination()
 
+    assert run.stored_alerts(spark, out).collect() == [] and run.fold_alerts(spark, out) == -1
     take_in(alert(1, 0, severity="low"), alert(2, 0), "broken")
     assert run.fold_alerts(spark, out) == -1
     take_in(alert(1, 5, severity="high"))
@@ -148,7 +167,7 @@ def test_folding_changes_no_stored_alert(spark, places):
     assert run.fold_alerts(spark, out) == 1
     assert rows_of(run.stored_alerts(spark, out)) == before
     assert rows_of(run.stored_alerts(spark, out), "incident_id", "severity", "zone") == [
-        (None, None, None), (None, None, None), ("i1", "high", "North"), ("i2", "critical", "West"), ("i3", "critical", "North"),
+        ("i1", "high", "North"), ("i2", "critical", "West"), ("i3", "critical", "North"),
     ]
 
 

@@ -92,10 +92,36 @@ def test_csv_missing_texts_become_null(spark, path):
     out = path()
     text = "k,zone,v\na,NA,NaN\nb,West,5.5\nc,null,bad"
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(out)
-    got = files.read_csv(spark, out, schemas.struct("k string, zone string, v double"))
+    shape = schemas.struct("k string, zone string, v double")
+    got = files.read_csv(spark, out, shape, missing=files.MISSING_TEXTS)
     assert rows_of(got) == [("a", None, None), ("b", "West", 5.5), ("c", None, None)]
 
 
+def test_csv_keeps_every_text_unless_told_otherwise(spark, path):
+    out = path()
+    df = spark.createDataFrame([("NA", "None", 1.0), ("x", "null", -2.5), ("y", "N/A", None)], "k string, s string, v double")
+    files.write_csv(df, out)
+    assert rows_of(files.read_csv(spark, out, df.schema)) == rows_of(df)
+
+
+def test_csv_rows_that_do_not_fit_keep_their_text(spark, path):
+    out = path()
+    spark.createDataFrame([("k,v\na,1\nb,twelve",)], "value string").coalesce(1).write.text(out)
+    got = files.read_csv(spark, out, schemas.struct("k string, v double"), corrupt="bad")
+    assert rows_of(got) == [("a", 1.0, None), ("b", None, "b,twelve")]
+
+
+def test_replacing_keeps_the_old_table_if_the_write_fails(spark, path):
+    out = path()
+    files.replace_table(spark.range(3), out)
+    failing = spark.range(3).selectExpr("assert_true(id < 2) AS x", "id")
+    with pytest.raises(Exception):
+        files.replace_table(failing, out)
+    assert spark.read.parquet(out).count() == 3
+    files.replace_table(spark.range(5), out)
+    assert spark.read.parquet(out).count() == 5
+
+
 def test_json_log_appends_and_keeps_null_keys(spark, path, incidents):
     out = path()
     files.append_json_log(incidents, out)

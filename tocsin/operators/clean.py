@@ -7,14 +7,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tocsin.functions import scalar
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null, so that no statistic is spoilt by it."""
+    value = F.col(f"`{column}`")
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return F.when(~F.isnan(value), value) if floating else value
+
+
 def impute_mean(df: DataFrame, column: str = "response_time") -> DataFrame:
-    """Replace nulls by the mean of the non-null values."""
-    mean = df.agg(F.avg(column)).scalar()
-    return df.withColumn(column, F.coalesce(F.col(column), mean))
+    """Replace nulls and NaN by the mean of the other values."""
+    value = known(df, column)
+    mean = df.agg(F.avg(value)).scalar()
+    return df.withColumn(column, F.coalesce(value, mean))
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:
@@ -31,9 +40,10 @@ def scaled(value: Column, low: Column, high: Column) -> Column:
 
 def minmax_scale(df: DataFrame, column: str = "response_time") -> DataFrame:
     """Add ``<column>_normalized`` in 0..1; null where all values are equal."""
-    bounds = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+    value = known(df, column)
+    bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
     return df.withColumn(
-        f"{column}_normalized", scaled(F.col(column), bounds.getField("low"), bounds.getField("high"))
+        f"{column}_normalized", scaled(value, bounds.getField("low"), bounds.getField("high"))
     )
 
 
@@ -48,15 +58,16 @@ def validate_in(
 
 def moments(df: DataFrame, column: str) -> Column:
     """Mean and sample deviation as one struct value."""
+    value = known(df, column)
     return df.agg(
-        F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"))
+        F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
     ).scalar()
 
 
 def z_score(df: DataFrame, column: str = "response_time") -> Column:
     """Distance from the mean in deviations; null when the deviation is null or 0."""
     stats = moments(df, column)
-    return F.try_divide(F.col(column) - stats.getField("mean"), stats.getField("std"))
+    return F.try_divide(known(df, column) - stats.getField("mean"), stats.getField("std"))
 
 
 def zscore_outliers(df: DataFrame, column: str = "response_time", limit: float = 3.0) -> DataFrame:

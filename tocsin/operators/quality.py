@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.operators.clean import z_score
+from tocsin.operators.clean import known, z_score
 
 
 class QualityError(ValueError):
@@ -16,6 +16,7 @@ class QualityError(ValueError):
 
 @dataclass(frozen=True)
 class Rules:
+    # Fixed value: the columns every incident table has.
     required: list[str] = field(
         default_factory=lambda: ["incident_id", "timestamp", "zone", "severity", "response_time"]
     )
@@ -27,9 +28,9 @@ class Rules:
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Nulls per column as rows, counted for all columns in one pass."""
+    """Nulls and NaN per column as rows, counted for all columns in one pass."""
     columns = columns or df.columns
-    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns])
+    counts = df.agg(*[F.count_if(known(df, c).isNull()).alias(c) for c in columns])
     pairs = [
         F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("nulls")) for c in columns
     ]
@@ -61,9 +62,9 @@ def report(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
         measures[(check, name)] = F.col(alias)
 
     for c in present:
-        in_first_pass("nulls", c, F.count_if(F.col(c).isNull()))
+        in_first_pass("nulls", c, F.count_if(known(df, c).isNull()))
     if rules.value in df.columns:
-        value = F.col(rules.value)
+        value = known(df, rules.value)
         in_first_pass("below_range", rules.value, F.count_if(value < rules.lowest))
         in_first_pass("above_range", rules.value, F.count_if(value > rules.highest))
         far = F.count_if(F.abs(z_score(df, rules.value)) > rules.z_limit)
@@ -107,7 +108,7 @@ def profile(df: DataFrame) -> DataFrame:
     """Position, name, type, nullability, rows and nulls per column, in one pass."""
     measured = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}") for i, f in enumerate(df.schema)],
+        *[F.count_if(known(df, f.name).isNull()).alias(f"n{i}") for i, f in enumerate(df.schema)],
     )
     rows = [
         F.struct(

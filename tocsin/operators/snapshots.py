@@ -67,8 +67,14 @@ class SnapshotTable:
         return self._rows(entry)
 
     def changes(self, before: int, after: int, columns: list[str] | None = None) -> DataFrame:
-        """Rows that differ between two versions, with their number of copies in each."""
-        return tables.row_changes(self.read(before), self.read(after), columns)
+        """Rows that differ between two versions, with their number of copies in each.
+
+        Parts that both versions have hold equal rows on both sides and are not read.
+        """
+        old, new = self._entry(before), self._entry(after)
+        shared = set(old["parts"]) & set(new["parts"])
+        sides = [self._parts(e, [p for p in e["parts"] if p not in shared]).drop(_VERSION) for e in (old, new)]
+        return tables.row_changes(*sides, columns)
 
     def describe(self, version: int | None = None) -> DataFrame:
         """Columns with type, nullability, rows and nulls."""
@@ -79,19 +85,22 @@ class SnapshotTable:
     def overwrite(self, df: DataFrame, new_schema: bool = False, run_id: str | None = None) -> int:
         """Replace the content. The schema must stay, unless ``new_schema`` is set."""
         last = self._last()
-        if done := self._done(run_id):
+        if done := self._done(run_id, last):
             return done["version"]
         if last and not new_schema:
             df = self._fit(df, last)
         return self._commit(df, last, "OVERWRITE", kept=[], run_id=run_id)
 
-    def append(self, df: DataFrame, run_id: str | None = None) -> int:
-        """Add rows. A run id that was committed before is not written again."""
+    def append(self, df: DataFrame, run_id: str | None = None, evolve: bool = False) -> int:
+        """Add rows. A run id that was committed before is not written again.
+
+        With ``evolve`` columns new to the table are added; older rows have nulls there.
+        """
         last = self._last()
-        if done := self._done(run_id):
+        if done := self._done(run_id, last):
             return done["version"]
         if last:
-            df = self._fit(df, last)
+            df = self._fit(df, last, evolve)
         return self._commit(df, last, "APPEND", kept=last["parts"] if last else [], run_id=run_id)
 
     def update(self, *rules: tuple[str, dict[str, str]], run_id: str | None = None) -> int:
@@ -101,7 +110,7 @@ class SnapshotTable:
         the rules before it did. Without any matching row there is no new version.
         """
         last = self._entry(None)
-        if done := self._done(run_id):
+        if done := self._done(run_id, last):
             return done["version"]
         before = self._parts(last)
         # The first rule to match a row sees it unchanged, so a row changes exactly if
@@ -111,7 +120,7 @@ class SnapshotTable:
         touched = [row[0] for row in before.filter(hit).select(_VERSION).distinct().collect()]
         if not touched:
             return last["version"]
-        df = before.filter(F.col(_VERSION).isin(touched)).drop(_VERSION).withColumn("_hit", hit)
+        df = self._parts(last, touched).drop(_VERSION).withColumn("_hit", hit)
         for condition, settings in rules:
             changed = {
                 c: F.when(F.expr(condition), F.expr(value).cast(df.schema[c].dataType)).otherwise(F.col(c))
@@ -140,32 +149,42 @@ class SnapshotTable:
             raise ValueError("no such version" if version is not None else "the table is empty")
         return entry
 
-    def _done(self, run_id: str | None) -> Row | None:
-        if run_id is None or self._last() is None:
+    def _done(self, run_id: str | None, last: Row | None) -> Row | None:
+        if run_id is None or last is None:
             return None
+        if last["run_id"] == run_id:
+            return last
         return self._history_rows().filter(F.col("run_id") == run_id).first()
 
     def _rows(self, entry: Row) -> DataFrame:
         return self._parts(entry).drop(_VERSION)
 
-    def _parts(self, entry: Row) -> DataFrame:
+    def _parts(self, entry: Row, some: list[int] | None = None) -> DataFrame:
+        """All or some parts of a version. Only their folders are listed."""
         schema = T.StructType.fromJson(json.loads(entry["table_schema"]))
         stored = T.StructType([*schema.fields, T.StructField(_VERSION, T.LongType())])
-        listed = F.col(_VERSION).isin(entry["parts"])
-        return self.spark.read.schema(stored).parquet(self._data).filter(listed)
-
-    def _fit(self, df: DataFrame, last: Row) -> DataFrame:
-        """Check the columns against the table; absent ones are filled with nulls."""
+        parts = entry["parts"] if some is None else some
+        if not parts:
+            return self.spark.createDataFrame([], stored)
+        folders = [f"{self._data}/{_VERSION}={part}" for part in parts]
+        return self.spark.read.schema(stored).option("basePath", self._data).parquet(*folders)
+
+    def _fit(self, df: DataFrame, last: Row, evolve: bool = False) -> DataFrame:
+        """Check the columns against the table; absent ones are filled with nulls, and
+        new ones stand last if the table may evolve."""
         schema = T.StructType.fromJson(json.loads(last["table_schema"]))
         known = {f.name: f.dataType for f in schema}
         for f in df.schema:
+            if f.name not in known and evolve:
+                continue
             if f.name not in known:
                 raise SchemaMismatch(f"column {f.name} is not in the table")
             if f.dataType != known[f.name]:
                 raise SchemaMismatch(
                     f"column {f.name} is {known[f.name].simpleString()}, not {f.dataType.simpleString()}"
                 )
-        return tables.add_missing(df, schema).select(schema.names)
+        new = [c for c in df.columns if c not in known]
+        return tables.add_missing(df, schema).select(*schema.names, *new)
 
     def _commit(
         self, df: DataFrame, last: Row | None, operation: str, kept: list[int], run_id: str | None

@@ -49,6 +49,10 @@ def dim_severity(df: DataFrame) -> DataFrame:
 
 
 def _known(df: DataFrame, shape) -> DataFrame:
+    """The dimension's natural columns; coordinates also under their long names."""
+    for short, long in (("lat", "latitude"), ("lon", "longitude")):
+        if short in shape.names and short not in df.columns and long in df.columns:
+            df = df.withColumnRenamed(long, short)
     return df.select(*[c for c in df.columns if c in shape.names and not c.endswith("_id")])
 
 

@@ -12,7 +12,8 @@ def latest_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame
     result does not depend on how rows were spread.
 
     An aggregate rather than a window: many versions of one key are folded in
-    each task before the shuffle and never sorted together.
+    each task before the shuffle, so a hot key sends one row from each. Folding
+    rows with texts sorts a task's rows; select the needed columns first.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     newest = F.max(F.struct(*order, *rest)).alias("_row")

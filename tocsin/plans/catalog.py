@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,13 +51,18 @@ def zone_free(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
 
 
-# The two halves of the table that keyed and versioned writes work on.
+# The two halves of the table that keyed and versioned writes work on. A row without a
+# type is in the second.
+def _is_old() -> Column:
+    return F.coalesce(F.col("incident_type").isin("click", "view"), F.lit(False))
+
+
 def _old(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("incident_type").isin("click", "view"))
+    return df.filter(_is_old())
 
 
 def _new(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("incident_type").isin("click", "view"))
+    return df.filter(~_is_old())
 
 
 _ROW = 'incident_id, "timestamp", incident_type, zone, severity, response_time, unit_id, hospital_id'
@@ -398,12 +403,13 @@ def top_zones(spark, sf_dir):
 
 @query(
     "partition_layout",
-    f"WITH {LARGE_SQL} SELECT zone_id, count(*) AS rows FROM large_incidents GROUP BY zone_id",
+    f"WITH {LARGE_SQL} SELECT zone_id, count(*) AS rows, CAST(1 AS BIGINT) AS partitions FROM large_incidents GROUP BY zone_id",
 )
 def partition_layout(spark, sf_dir):
-    placed = layout.partition_by_key(standin.large_incidents(spark, sf_dir), "zone_id")
+    """Strict: a key spread over two partitions would show."""
+    placed = layout.partition_by_key(standin.large_incidents(spark, sf_dir), "zone_id", strict=True)
     per_partition = layout.partition_rows(placed, "zone_id")
-    return per_partition.groupBy("zone_id").agg(F.sum("rows").alias("rows"))
+    return per_partition.groupBy("zone_id").agg(F.sum("rows").alias("rows"), F.count("*").alias("partitions"))
 
 
 # -- quality ----------------------------------------------------------------------
@@ -911,7 +917,7 @@ def stream_anomalies(spark, sf_dir):
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     payload = _payload_stream(spark, sf_dir).withColumn("incident_id", F.col("alert_key"))
     out = new_path(spark, "ingest")
-    alerts = live.decode(_message_stream(payload))
+    alerts = live.decode_traced(_message_stream(payload))
     run.start_ingest(alerts, out, new_path(spark, "checkpoint")).awaitTermination()
     return out
 
@@ -921,6 +927,21 @@ def stream_upsert(spark, sf_dir):
     return _with_time(run.stored_alerts(spark, _ingested(spark, sf_dir)))
 
 
+@query(
+    "stream_rejects",
+    f"""WITH {ALERTS_SQL} SELECT '#' || alert_key AS raw, count(*) AS messages FROM alerts GROUP BY alert_key""",
+)
+def stream_rejects(spark, sf_dir):
+    """Every event also comes once as a text that is no JSON."""
+    payload = _payload_stream(spark, sf_dir)
+    arrival = F.col("timestamp").try_cast("timestamp").alias("timestamp")
+    broken = payload.select(F.col("incident_type").alias("key"), F.concat(F.lit("#"), "alert_key").cast("binary").alias("value"), arrival)
+    out = new_path(spark, "ingest")
+    both = live.decode_traced(_message_stream(payload).unionByName(broken))
+    run.start_ingest(both, out, new_path(spark, "checkpoint")).awaitTermination()
+    return run.rejected(spark, out).groupBy("raw").agg(F.count("*").alias("messages"))
+
+
 @query("stream_alert_stats", SQL["alert_stats"])
 def stream_alert_stats(spark, sf_dir):
     return run.alert_totals(spark, _ingested(spark, sf_dir))

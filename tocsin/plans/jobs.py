@@ -154,6 +154,9 @@ def load_star(
     placed = star.lookup(placed, unit, "unit_id", **{c: c for c in by_unit})
     if crews is not None:
         fact_column, crew_column = on
+        repeated = crews.groupBy(crew_column).count().filter(F.col("count") > 1)
+        if not repeated.filter(F.col(crew_column).isNotNull()).isEmpty():
+            raise ValueError(f"{crew_column} repeats among the crews, so facts would multiply")
         ids = placed.select(F.col(crew_column).alias("_crew"), "location_id", "unit_id")
         placed = facts.join(ids, F.col(fact_column) == F.col("_crew"), "left")
     ready = star.lookup(placed, grade, "severity_id", severity=severity)

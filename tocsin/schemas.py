@@ -31,20 +31,11 @@ RAW_INCIDENT = struct(
     "incident_id string, timestamp timestamp, incident_type string, severity string, zone string, "
     "latitude double, longitude double, response_time double"
 )
-CLEAN_INCIDENT = T.StructType(
-    [*RAW_INCIDENT, *struct("response_time_normalized double, valid_severity boolean")]
-)
-LARGE_INCIDENT = struct(
-    "incident_id bigint, timestamp timestamp, severity string, zone_id smallint, response_time double"
-)
 # Message payload: the event time travels as ISO text.
 ALERT = struct(
     "incident_id string, timestamp string, incident_type string, zone string, severity string, "
     "response_time double, unit_id string, hospital_id string, priority string"
 )
-MINIMAL_ALERT = struct(
-    "incident_id string, timestamp string, incident_type string, priority string"
-)
 MESSAGE = struct("key string, value binary, timestamp timestamp")
 STORED_ALERT = struct(
     "incident_id string, timestamp string, zone string, severity string, response_time double, "

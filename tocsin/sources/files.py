@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import partial
 
@@ -24,25 +25,38 @@ _CSV_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
-# Texts that count as missing in a CSV field besides the empty one.
+# Texts that data tools write for a missing field, besides the empty one.
 MISSING_TEXTS = [
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    missing: list[str] | None = None,
+    corrupt: str | None = None,
+) -> DataFrame:
     """CSV with a header. Give the schema: inferring one reads the file twice.
 
-    Missing-value texts in string columns and NaN in double columns become null.
+    Values are read as they stand. ``missing`` names texts of string columns that
+    become null, for example ``MISSING_TEXTS``, and with it NaN does too. A field that
+    does not fit the schema is null; ``corrupt`` names a column for the text of such rows.
     """
     reader = spark.read.options(**_CSV)
+    if schema and corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
     df = (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(path)
+    if missing is None:
+        return df
     fixed = {}
     for field in df.schema:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
-            fixed[field.name] = F.when(~c.isin(MISSING_TEXTS), c)
+            fixed[field.name] = F.when(~c.isin(missing), c)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             fixed[field.name] = F.when(~F.isnan(c), c)
     return df.withColumns(fixed) if fixed else df
@@ -53,9 +67,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as the new content of ``path`` and return the stored table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as the new content of ``path`` and return the stored table.
+
+    The rows are written beside the old table, which is there until they are complete.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    moved = system.exists(hadoop(path)) and system.rename(hadoop(path), hadoop(old))
+    if not system.rename(hadoop(fresh), hadoop(path)):
+        if moved:
+            system.rename(hadoop(old), hadoop(path))
+        raise OSError(f"cannot publish {path}")
+    if moved:
+        system.delete(hadoop(old), True)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def replace_tables(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -13,11 +13,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tocsin import schemas
-from tocsin.operators import reports
+from tocsin.operators import reports, tables
 from tocsin.operators.layout import cached
 from tocsin.operators.snapshots import SnapshotTable
 from tocsin.operators.tables import latest_per_key
 from tocsin.session import together
+from tocsin.sources import files
 from tocsin.streaming import alerts as frames
 
 AVAILABLE_NOW = "available now"
@@ -104,18 +105,24 @@ def start_ingest(
 
     A batch costs work in proportion to its own rows. Stored alerts are appended,
     already reduced to the last arrival per key within the batch; ``stored_alerts``
-    settles keys that came in several batches.
+    settles keys that came in several batches. Messages of ``decode_traced`` that did
+    not parse go to ``rejects`` with their text and to no other output; arrival is then
+    ordered by ingest time, partition and offset.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
-        with cached(batch) as kept:
+        with cached(_traced(batch)) as whole:
+            # Read and parsed once: this write fills the cache for the others.
+            refused = whole.filter("rejected").select(_REJECT.names)
+            refused.write.mode("overwrite").parquet(f"{out}/rejects/{part}")
+            kept = whole.filter("NOT rejected")
             outputs = {
                 "alerts": _store(kept),
                 "dispatches": reports.dispatches(kept),
                 "stats": reports.alert_stats(kept),
             }
-            log = kept.drop("ingest_time", "event_time").write.option("ignoreNullFields", "false")
+            log = kept.drop("ingest_time", "event_time", *frames.TRACE).write.option("ignoreNullFields", "false")
             together(
                 batch.sparkSession,
                 partial(log.mode("overwrite").json, f"{out}/log/{part}"),
@@ -128,11 +135,29 @@ def start_ingest(
     return _launch(alerts.writeStream.foreachBatch(write_batch), "append", checkpoint, trigger, name)
 
 
-_ARRIVED = T.StructType([*schemas.STORED_ALERT.fields, T.StructField("ingest_time", T.TimestampType())])
+_ORDER = ["ingest_time", "partition", "offset"]
+_ARRIVED = T.StructType(
+    [*schemas.STORED_ALERT.fields, *schemas.struct("ingest_time timestamp, partition int, offset bigint")]
+)
+_REJECT = schemas.struct("ingest_time timestamp, partition int, offset bigint, raw string")
+
+
+def _traced(batch: DataFrame) -> DataFrame:
+    """Frames decoded without a trace have no rejects and no place."""
+    if "rejected" in batch.columns:
+        return batch
+    return tables.add_missing(batch, schemas.struct("partition int, offset bigint, raw string")).withColumn(
+        "rejected", F.lit(False)
+    )
+
+
+def rejected(spark: SparkSession, out: str) -> DataFrame:
+    """Messages that did not parse, with their text, and the batch they came in."""
+    return written(spark, f"{out}/rejects", _REJECT)
 
 
 def _store(batch: DataFrame) -> DataFrame:
-    return _settled(batch.select(_ARRIVED.names), ["ingest_time"])
+    return _settled(batch.select(_ARRIVED.names), _ORDER)
 
 
 def _settled(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -141,18 +166,25 @@ def _settled(rows: DataFrame, order: list[str]) -> DataFrame:
     return keyed.unionByName(rows.filter("incident_id IS NULL"))
 
 
+def _batches(spark: SparkSession, out: str) -> DataFrame:
+    """All stored batches; none before the first one is written."""
+    if files.exists(spark, f"{out}/alerts"):
+        return written(spark, f"{out}/alerts", _ARRIVED)
+    return spark.createDataFrame([], T.StructType([*_ARRIVED.fields, T.StructField("batch_id", T.LongType())]))
+
+
 def _arrivals(spark: SparkSession, out: str) -> tuple[DataFrame, SnapshotTable, int]:
     """What is left to settle: the folded table and the batches after it."""
     folded = SnapshotTable(spark, f"{out}/folded")
     last = int(folded.last_run_id() or -1)
-    rows = written(spark, f"{out}/alerts", _ARRIVED).filter(F.col("batch_id") > last)
+    rows = _batches(spark, out).filter(F.col("batch_id") > last)
     return (rows if last < 0 else folded.read().unionByName(rows)), folded, last
 
 
 def stored_alerts(spark: SparkSession, out: str) -> DataFrame:
     """One row per alert key, the last arrival over all batches."""
     rows, _, _ = _arrivals(spark, out)
-    return _settled(rows, ["batch_id", "ingest_time"]).select(schemas.STORED_ALERT.names)
+    return _settled(rows, ["batch_id", *_ORDER]).select(schemas.STORED_ALERT.names)
 
 
 def fold_alerts(spark: SparkSession, out: str) -> int:
@@ -163,10 +195,11 @@ def fold_alerts(spark: SparkSession, out: str) -> int:
     which may still be in the writing.
     """
     rows, folded, last = _arrivals(spark, out)
-    finished = written(spark, f"{out}/alerts", _ARRIVED).agg(F.max("batch_id")).first()[0] - 1
+    newest = _batches(spark, out).agg(F.max("batch_id")).first()[0]
+    finished = -1 if newest is None else newest - 1
     if finished <= last:
         return last
-    settled = _settled(rows.filter(F.col("batch_id") <= finished), ["batch_id", "ingest_time"])
+    settled = _settled(rows.filter(F.col("batch_id") <= finished), ["batch_id", *_ORDER])
     folded.overwrite(settled, run_id=str(finished))
     return finished
 
