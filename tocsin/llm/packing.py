@@ -20,6 +20,7 @@ for a source without rows grants nothing.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from collections import deque
 from collections.abc import Iterator
@@ -29,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, MARK, NO_ID, TEXT, map_arrow, row_id, slices, stored, text_bytes, text_mark
+from tocsin.llm.common import ID, MARK, NO_ID, TEXT, bounded_batches, map_arrow, row_id, slices, stored, text_bytes, text_mark
 
 #: A source is served in a window if so many tokens, or a document's end, are granted.
 LEAST = 64
+#: All but ASCII signs other than the stop and the comma, and runs of these two.
+SAFE = bytes(b for b in range(256) if b > 127 or chr(b).isalnum() or b in b" \t\n\x0b\x0c\r.,")
+SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+RUNS = (b"..", b".,", b",.", b",,")
 PIECES = f"{ID} long, {MARK} int, mix string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -46,7 +51,7 @@ class WordTokens(dict):
 
     held: dict[str, WordTokens] = {}
 
-    def __init__(self, path: str, half: int = 200_000):
+    def __init__(self, path: str, half: int = 500_000):
         super().__init__()
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -75,9 +80,10 @@ class WordTokens(dict):
         if word.isalpha():
             low = word.lower()
             return self[low] if low != word else self._merged(word.decode())
-        if word[-1:] in b".," and word[:-1].isalpha():
-            return self[word[:-1]] + self[word[-1:]]
         shown = word.decode("utf-8", "replace")
+        stem = word.rstrip(SIGNS)
+        if len(stem) < len(word) and stem.decode("utf-8", "replace").isalpha():
+            return self[stem] + self[word[len(stem) :]]
         if shown.isalpha() and max(shown) < "ɐ" and "İ" not in shown and unicodedata.is_normalized("NFC", shown):
             return self._merged(self.as_bytes.pre_tokenize_str(shown.lower())[0][0])
         return self._ids(self.tokenizer.encode(shown, add_special_tokens=False).ids)
@@ -87,16 +93,38 @@ class WordTokens(dict):
 
     @staticmethod
     def _ids(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def text(self, text: bytes) -> bytes:
+    def _split(self, text: bytes) -> list[bytes]:
         if any(s in text for s in self.special):
-            return self._ids(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, text.split()))
+            return [text]
+        if not text.translate(None, SAFE) and not any(run in text for run in RUNS):
+            # Every stop and comma is a token of its own, so words come without them.
+            text = text.lower().replace(b".", b" . ").replace(b",", b" , ")
+        return text.split()
+
+    def texts(self, texts: list[bytes], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and the ids of each. Every distinct
+        word is looked up once; the rest is array work."""
+        split = [self._split(t) for t in texts]
+        words = pa.array([w for ws in split for w in ws], pa.binary()).dictionary_encode()
+        ids = [self[w] for w in words.dictionary.to_pylist()]
+        flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
+        at = words.indices.to_numpy()
+        long = sizes[at]
+        first = (np.cumsum(sizes) - sizes)[at] if len(at) else at
+        found = flat[np.repeat(first - (np.cumsum(long) - long), long) + np.arange(long.sum())]
+        ends = np.cumsum([len(ws) for ws in split])
+        whole = np.append(0, np.cumsum(long))[np.append(0, ends)]
+        if end is not None:
+            found = np.insert(found, whole[1:], end)
+            whole = whole + np.arange(len(whole))
+        return found, np.diff(whole)
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, mix_col: str, id_col: str, text_col: str) -> DataFrame:
     """Row keys, ``mix``, ``n`` and the ids (16 or 32 bits each) of every row, with the end token."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         row_id(id_col).alias(ID), text_mark(text_col).alias(MARK),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias(TEXT), F.col(mix_col).cast("string").alias("mix"),
@@ -105,13 +133,12 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, mix_col: str, id_col
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens.of(tokenizer)
         kind = _kind(words.tokenizer.get_vocab_size())
-        end = np.array([end_id], "<u4").tobytes()
         for batch in (part for whole in batches for part in slices(whole)):
-            ids = [words.text(t) + end for t in batch.column(2).to_pylist()]
+            ids, sizes = words.texts(batch.column(2).to_pylist(), end_id)
+            cuts = np.cumsum(sizes)[:-1]
             arrays = [
-                batch.column(0), batch.column(1), batch.column(3),
-                pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() for x in ids], pa.binary()),
+                batch.column(0), batch.column(1), batch.column(3), pa.array(sizes),
+                pa.array([x.tobytes() for x in np.split(ids.astype(kind), cuts)], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, [ID, MARK, "mix", "n", "ids"])
 
