@@ -22,6 +22,19 @@ KEYS = [ID, MARK]
 NO_ID = -(2**63)
 
 
+#: Rows handed to Python at a time. Texts are long and rows few, so Spark's default
+#: would make batches of tens of megabytes, several of them in every task.
+BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows, if they have more, and ``BATCH_BYTES``."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def row_id(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
 
@@ -33,6 +46,7 @@ def text_mark(text_col: str = "text") -> Column:
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Row keys and the UTF-8 bytes of the text, and nothing else."""
+    bounded_batches(docs.sparkSession)
     return docs.select(
         row_id(id_col).alias(ID),
         text_mark(text_col).alias(MARK),
@@ -42,6 +56,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns and the row keys."""
+    bounded_batches(docs.sparkSession)
     return docs.withColumns({ID: row_id(id_col), MARK: text_mark(text_col)})
 
 
@@ -49,6 +64,20 @@ def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(make, schema)
 
 
+def slices(batch: pa.RecordBatch, column: int = 2, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in turn, in slices of so many bytes of text; one row is never cut."""
+    if not len(batch):
+        return
+    sizes = np.diff(np.frombuffer(batch.column(column).buffers()[1], np.int32)[batch.column(column).offset :][: len(batch) + 1].astype(np.int64))
+    total = np.cumsum(sizes)
+    start = 0
+    while start < len(batch):
+        base = total[start] - sizes[start]
+        end = max(start + 1, int(np.searchsorted(total, base + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to a new folder in the shared place and read it back."""
     spark = df.sparkSession
@@ -70,7 +99,7 @@ def scan_tasks(df: DataFrame) -> int:
 class WordHashes(dict):
     """64-bit hash of each word, kept until there are too many."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

@@ -13,11 +13,14 @@ at least ``need = ceil(t n)`` shingles, so that they share one of the first
   and the list entries these meet, by the mean list length measured in the corpus.
 
 Shingles that no other set has are known from a filter (see ``repeated``): a set with
-more than ``n - need`` of them links with nothing and posts nothing. Equal sets are
+more than ``n - need`` of them links with nothing and posts nothing, and two sets whose
+other shingles are too few are no candidates. Equal sets are
 one class, found by the set's hash. A list isn't expanded into pairs: in each round
 its members are compared with a few hubs, links are folded into components, and only
-members of different components go on; when few such pairs are left, all are compared.
-So no link that joins different components is lost, whatever the order.
+members of different components go on. When hubs no longer help, all pairs of different
+components that are left are compared, so no link that joins components is lost. Before
+two sets are brought together, a sketch of the parities of their hashes gives a lower
+bound on their difference, which rules out most pairs that don't link.
 
 Shingles and sets are told apart by 64-bit hashes.
 
@@ -37,13 +40,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, NO_ID, WordHashes, keyed, map_arrow, mixed, rolling, stored, text_bytes
+from tocsin.llm.common import ID, KEYS, MARK, NO_ID, WordHashes, keyed, map_arrow, mixed, rolling, slices, stored, text_bytes, with_keys
 from tocsin.llm.components import components
 from tocsin.llm.repeated import buckets_for, repeated
 
-#: Every so many-th shingle is looked up in the filter of repeated ones; 2 in 3 would do as well.
-RATE, FREQUENT, COPIES = 2, 24, 8
-HUBS, ROUNDS = 2, 8
+#: A shingle of so many sets comes last in the order; one task tells of so many at most.
+FREQUENT, COPIES = 12, 4
+HUBS, ROUNDS = 4, 8
+#: Bits of the parity sketch that bounds how much two sets differ.
+BITS = 512
 
 
 def shingle_sets(batch: pa.RecordBatch, width: int, cache: WordHashes) -> list[np.ndarray]:
@@ -60,10 +65,6 @@ def shingle_sets(batch: pa.RecordBatch, width: int, cache: WordHashes) -> list[n
     return out
 
 
-def _sampled(h: np.ndarray) -> np.ndarray:
-    return h >> np.uint64(40) & np.uint64(RATE - 1) == 0
-
-
 def boundary(mean_list: float, threshold: float, most: int = 400) -> int:
     """The largest set size at which subsets cost no more than postings and their scan."""
     light = 0
@@ -82,66 +83,81 @@ def _keys(prefix1: np.ndarray, prefix2: np.ndarray, n: int, light: int, threshol
     return np.concatenate(keys)
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
 def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    """Row keys, size and hash of each set; its list keys and shared shingles if it may link."""
+    """Row keys, size and hash of each set and how many of its shingles others may have
+    (``rest``); its list keys and these shingles if it may link."""
     rows = keyed(docs, id_col, text_col)
 
-    def sampled(batch: pa.RecordBatch, cache: WordHashes = WordHashes()) -> np.ndarray:
+    def every(batch: pa.RecordBatch, cache: WordHashes = WordHashes()) -> np.ndarray:
         sets = shingle_sets(batch, width, cache)
-        h = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-        return h[_sampled(h)]
+        return np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
     shingles = text_bytes(docs, text_col) / 6
-    twice, often, met = repeated(rows, sampled, buckets_for(shingles / RATE), FREQUENT, COPIES)
-    light = boundary(met, threshold)
+    twice, often, met = repeated(rows, every, buckets_for(shingles), FREQUENT, COPIES, 64 << 20)
+    light = boundary(min(met, HUBS), threshold)
     shared = docs.sparkSession.sparkContext.broadcast((twice, often))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice, often = shared.value
         cache = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sets = shingle_sets(batch, width, cache)
             h = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             kind = np.ones(len(h), np.int8)
-            look = np.nonzero(_sampled(h))[0]
-            kind[look[~twice.holds(h[look])]] = 0
+            kind[~twice.holds(h)] = 0
+            look = np.nonzero(kind)[0]
             kind[look[often.holds(h[look])]] = 2
-            sizes, sigs, keys, kept, at = [], [], [], [], 0
+            sizes, rests, sigs, keys, kept, odd, at = [], [], [], [], [], [], 0
             for s in sets:
                 n, own = len(s), kind[at : at + len(s)]
                 at += n
                 sizes.append(n)
                 sigs.append(_signed(xxhash.xxh3_64_intdigest(s.tobytes())))
                 slack, lone = n - ceil(threshold * n), int((own == 0).sum())
+                rests.append(n - lone)
                 if not n or lone >= slack + (1 if n > light else 2):
                     keys.append(None)
                     kept.append(None)
+                    odd.append(None)
                     continue
                 order = s[np.argsort(own, kind="stable")]
                 found = _keys(order[lone : slack + 1], order[lone : slack + 2], n, light, threshold)
                 keys.append(found.view(np.int64) if len(found) else None)
                 kept.append(s[own > 0].tobytes() if len(found) else None)
+                odd.append(_parities(s) if len(found) else None)
             arrays = [
                 pa.array(sizes, pa.int64()),
+                pa.array(rests, pa.int64()),
                 pa.array(sigs, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
                 pa.array(kept, pa.binary()),
+                pa.array(odd, pa.list_(pa.int64())),
             ]
-            names = [ID, MARK, "n", "sig", "keys", "shared"]
+            names = [ID, MARK, "n", "rest", "sig", "keys", "shared", "odd"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
 
-    return map_arrow(rows, make, f"{ID} long, {MARK} int, n long, sig long, keys array<long>, shared binary")
+    return map_arrow(rows, make, f"{ID} long, {MARK} int, n long, rest long, sig long, keys array<long>, shared binary, odd array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold. One set of a pair travels."""
-    left = pairs.join(sets.toDF("b", "nb", "setb"), "b")
-    both = left.join(sets.toDF("a", "na", "seta"), "a").select("a", "b", "na", "nb", "seta", "setb")
     per = round(100 * threshold)
+    sketch = sets.select("sig", "n", "odd")
+    near = pairs.join(sketch.toDF("a", "na", "odda"), "a").join(sketch.toDF("b", "nb", "oddb"), "b")
+    apart = F.aggregate(F.zip_with("odda", "oddb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    # 100 * same >= per * union, and same = (na + nb - difference) / 2
+    near = near.filter((100 + per) * (F.col("na") + F.col("nb") - apart) >= 2 * per * (F.col("na") + F.col("nb")))
+    whole = sets.select("sig", "shared")
+    both = near.select("a", "b", "na", "nb").join(whole.toDF("b", "setb"), "b").join(whole.toDF("a", "seta"), "a")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,12 +169,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 keep.append(100 * same >= per * (na + nb - same))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(both, make, "a long, b long")
+    return map_arrow(both.select("a", "b", "na", "nb", "seta", "setb"), make, "a long, b long")
 
 
-def _fits(threshold: float, one: Column, other: Column) -> Column:
+def _fits(threshold: float, n: Column, rest: Column, other_n: Column, other_rest: Column) -> Column:
+    """Whether two sets of these sizes can overlap enough: no more than either's rest is shared."""
     per = round(100 * threshold)
-    return (F.least(one, other) * 100 >= F.greatest(one, other) * per)
+    return (100 + per) * F.least(rest, other_rest) >= per * (n + other_n)
 
 
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -174,31 +191,38 @@ def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     return stored(joined.select("sig", F.coalesce("label", "group").alias("group")), "groups")
 
 
+def _open(lists: DataFrame, classes: DataFrame) -> tuple[DataFrame, float]:
+    """The lists that hold more than one group, written, and the pairs across groups in them."""
+    tagged = stored(lists.join(classes, "sig").select("key", "sig", "n", "rest", "group"), "tagged")
+    several = tagged.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo != hi").select("key")
+    left = stored(tagged.join(several, "key"), "open")
+    sizes = left.groupBy("key", "group").agg(F.count("*").alias("m")).groupBy("key")
+    sizes = sizes.agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"))
+    return left, float(sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()[0] or 0)
+
+
 def _grouped(sets: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
     """``sig, group``: components of the classes that occur in lists of two or more."""
     classes = stored(lists.groupBy("sig").agg(F.col("sig").alias("group")), "groups")
-    per_list = lists.count()
+    before = float("inf")
     for turn in range(ROUNDS + 1):
-        tagged = lists.join(classes, "sig")
-        mixed_lists = tagged.groupBy("key", "group").agg(F.count("*").alias("m")).groupBy("key").agg(
-            F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"), F.count("*").alias("groups")
-        )
-        left = mixed_lists.filter("groups > 1").agg(F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()[0] or 0
+        lists, left = _open(lists.select("key", "sig", "n", "rest"), classes)
         if not left:
             break
-        last = turn and left <= 2 * per_list or turn == ROUNDS
-        one = tagged.select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("group").alias("sg"))
+        last = turn == ROUNDS or left > 0.7 * before
+        before = left
+        one = lists.select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("rest").alias("sr"), F.col("group").alias("sg"))
         if last:
-            other = tagged.select("key", F.col("sig").alias("t"), F.col("n").alias("tn"), F.col("group").alias("tg"))
+            other = lists.select("key", F.col("sig").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("tr"), F.col("group").alias("tg"))
             met = one.join(other, "key").filter("s < t")
         else:
             hub = [
-                F.min(F.struct(F.xxhash64("sig", F.lit(turn * HUBS + i)).alias("o"), F.col("sig").alias("t"), F.col("n").alias("tn"), F.col("group").alias("tg")))
+                F.min(F.struct(F.xxhash64("sig", F.lit(turn * HUBS + i)).alias("o"), F.col("sig").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("tr"), F.col("group").alias("tg")))
                 for i in range(HUBS)
             ]
-            hubs = tagged.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.array(*hub).alias("hubs"))
-            met = one.join(hubs.filter("lo != hi").select("key", F.explode("hubs").alias("hub")).select("key", "hub.t", "hub.tn", "hub.tg"), "key")
-        met = met.filter("s != t AND sg != tg").filter(_fits(threshold, F.col("sn"), F.col("tn")))
+            hubs = lists.groupBy("key").agg(F.array_distinct(F.transform(F.array(*hub), lambda h: h.dropFields("o"))).alias("hubs"))
+            met = one.join(hubs.select("key", F.explode("hubs").alias("hub")).select("key", "hub.t", "hub.tn", "hub.tr", "hub.tg"), "key")
+        met = met.filter("s != t AND sg != tg").filter(_fits(threshold, *[F.col(c) for c in ("sn", "sr", "tn", "tr")]))
         pairs = met.select(F.greatest("s", "t").alias("a"), F.least("s", "t").alias("b")).distinct()
         classes = _merged(classes, stored(_linked(pairs, sets, threshold), "linked"))
         if last:
@@ -209,18 +233,36 @@ def _grouped(sets: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
 def link_groups(
     docs: DataFrame, width: int = 5, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Row keys, set size ``n``, set hash ``sig`` and ``component_id`` of every row."""
+    """Row keys, set size ``n``, ``group`` and ``component_id`` of every row.
+
+    Rows are of one group if links join them; the group of an empty set is null.
+    """
     rows = stored(described(docs, width, threshold, id_col, text_col), "shingles")
-    sets = rows.filter(F.col("keys").isNotNull()).groupBy("sig").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("shared").alias("shared"))
+    sets = rows.filter(F.col("keys").isNotNull()).groupBy("sig").agg(F.first("n").cast("int").alias("n"), F.first("rest").cast("int").alias("rest"), F.first("keys").alias("keys"), F.first("shared").alias("shared"), F.first("odd").alias("odd"))
     sets = stored(sets, "sets")
-    posted = sets.select(F.explode("keys").alias("key"), "sig", "n").distinct()
+    posted = sets.select(F.explode("keys").alias("key"), "sig", "n", "rest").distinct()
     lists = posted.join(posted.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key"), "key")
-    groups = _grouped(sets.select("sig", "n", "shared"), stored(lists, "lists"), threshold)
+    groups = _grouped(sets.select("sig", "n", "shared", "odd"), stored(lists, "lists"), threshold)
     own = F.when(F.col(ID) != NO_ID, F.col(ID))
     classes = rows.filter("n > 0").groupBy("sig").agg(F.min(own).alias("least"))
     classes = classes.join(groups, "sig", "left").select("sig", "least", F.coalesce("group", "sig").alias("group"))
     least = classes.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "group").select("sig", "component_id")
+    named = classes.join(least, "group").select("sig", "group", "component_id")
     return rows.select(*KEYS, "n", "sig").join(named, "sig", "left").select(
-        *KEYS, "n", "sig", F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id")
+        *KEYS, "n", F.when(F.col("n") > 0, F.col("group")).alias("group"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group, the one with the smallest id, with its columns as they are.
+
+    A row without an id stays only if no row of its group has one. Of rows equal in id
+    and text one stays. Rows with an empty set are in no group and all stay.
+    """
+    found = stored(link_groups(docs, width, threshold, id_col, text_col), "components")
+    first = F.min(F.struct((F.col(ID) == NO_ID).alias("o"), F.col(ID).alias("i"), F.col(MARK).alias("m")))
+    stay = found.filter("group IS NOT NULL").groupBy("group").agg(first.alias("s")).select(F.col("s.i").alias(ID), F.col("s.m").alias(MARK))
+    rows = with_keys(docs, id_col, text_col)
+    empty = found.filter("group IS NULL").select(*KEYS).distinct()
+    kept = rows.join(stay, KEYS).dropDuplicates(KEYS)
+    return kept.unionByName(rows.join(empty, KEYS, "left_semi")).drop(*KEYS)

@@ -17,9 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tocsin.llm.common import slices
+
 LOW = np.uint64(0xFFFFFFFF)
 SPREAD = [np.uint64(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
-FLUSH = 4_000_000
+FLUSH = 1_000_000
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -89,11 +91,12 @@ def repeated(
         held: list[np.ndarray] = []
         n = 0
         for batch in batches:
-            held.append(hashes(batch))
-            n += len(held[-1])
-            if n >= FLUSH:
-                yield from packed(held, buckets, most_copies)
-                held, n = [], 0
+            for part in slices(batch):
+                held.append(hashes(part))
+                n += len(held[-1])
+                if n >= FLUSH:
+                    yield from packed(held, buckets, most_copies)
+                    held, n = [], 0
         yield from packed(held, buckets, most_copies)
 
     most = max(8, cap_bytes // (2 * buckets))
