@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, TEXT, WordHashes, keyed, map_arrow, rolling, text_bytes
-from tocsin.llm.repeated import FLUSH, Filter, bucket_of, buckets_for, repeated
+from tocsin.llm.common import ID, KEYS, MARK, TEXT, WordHashes, keyed, map_arrow, rolling, slices, text_bytes
+from tocsin.llm.repeated import Filter, bucket_of, buckets_for, repeated
 
 GRAM, RATE = 8, 4
+#: Windows held in a task, and counted in a bucket.
+HELD, EACH = 500_000, 500_000
 SENT = "bucket int, ids binary, marks binary, counts binary, hashes binary, starts binary"
 
 
@@ -182,21 +184,22 @@ def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", tex
         return found[_inside(sizes, gram) & _sampled(found)] if len(found) else found
 
     shared = spark.sparkContext.broadcast(repeated(rows, grams, buckets_for(words / RATE), 1 << 30)[0])
-    buckets = buckets_for(words / RATE)
+    buckets = buckets_for(words / RATE, EACH)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk(width, gram, buckets, shared.value)
         for batch in batches:
-            chunk.add(batch)
-            if chunk.n >= FLUSH:
-                yield from chunk.send()
+            for part in slices(batch):
+                chunk.add(part)
+                if chunk.n >= HELD:
+                    yield from chunk.send()
         yield from chunk.send()
 
     later = map_arrow(rows, windows, SENT).groupBy("bucket").applyInArrow(_later, f"{ID} long, {MARK} int, starts binary")
     told = later.groupBy(*KEYS).agg(F.collect_list("starts").alias("starts"))
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in (cut for whole in parts for cut in slices(whole)):
             total, removed, spans, kept = [], [], [], []
             for text, starts in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                 own = text.split()
