@@ -94,3 +94,23 @@ def test_empty_table(spark):
 def test_words_apart_equal_the_whole_text(text):
     whole = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
     assert packing.WordTokens.of(PATH).texts([b"", text.encode(), b""])[0].tolist() == whole
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["er said”.", "ok 😀. end", "so…, then", "end.” Then", "完了。, next", "की, और", "हिंदी. है", "نعم،. لا", "e\u0301. a.\u0301", "İ. i̇, İ!", "\u0958. \u0958!", "a\u00a0. ×, ÷.", "été. Çà, et ñ.ö"],
+)
+def test_signs_beyond_ascii_join_a_stop_or_comma(text):
+    whole = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert packing.WordTokens(PATH).texts([text.encode(), b"plain, words.", text.encode()])[0].tolist()[: len(whole)] == whole
+
+
+def test_every_character_next_to_a_stop_or_comma():
+    plain, words = Tokenizer.from_file(PATH), packing.WordTokens(PATH)
+    signs = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3200 or c % 97 == 0)]
+    for form in ("a{}.", "a{},b", "x.{}y", "a{}!"):
+        texts = [form.format(c) for c in signs]
+        ids, sizes = words.texts([t.encode() for t in texts])
+        got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert [c for c, g, w in zip(signs, got, want, strict=True) if g != w] == []

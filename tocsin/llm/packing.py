@@ -20,6 +20,7 @@ for a source without rows grants nothing.
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 from collections import deque
@@ -38,6 +39,10 @@ LEAST = 64
 SAFE = bytes(b for b in range(256) if b > 127 or chr(b).isalnum() or b in b" \t\n\x0b\x0c\r.,")
 SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 RUNS = (b"..", b".,", b",.", b",,")
+#: Characters whose lower-case form is letters alone. Any other beyond ASCII, such as a quote,
+#: an emoji or a combining mark, makes one piece with the stop or comma that it touches.
+LATIN = "À-ÖØ-öø-įı-ɏ"
+JOINED = re.compile(rf"[.,](?:(?<=[^\x00-\x7F{LATIN}].)|(?=[^\x00-\x7F{LATIN}]))")
 PIECES = f"{ID} long, {MARK} int, mix string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -82,7 +87,7 @@ class WordTokens(dict):
             return self[low] if low != word else self._merged(word.decode())
         shown = word.decode("utf-8", "replace")
         stem = word.rstrip(SIGNS)
-        if len(stem) < len(word) and stem.decode("utf-8", "replace").isalpha():
+        if len(stem) < len(word) and unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha():
             return self[stem] + self[word[len(stem) :]]
         if shown.isalpha() and max(shown) < "ɐ" and "İ" not in shown and unicodedata.is_normalized("NFC", shown):
             return self._merged(self.as_bytes.pre_tokenize_str(shown.lower())[0][0])
@@ -98,7 +103,8 @@ class WordTokens(dict):
     def _split(self, text: bytes) -> list[bytes]:
         if any(s in text for s in self.special):
             return [text]
-        if not text.translate(None, SAFE) and not any(run in text for run in RUNS):
+        plain = not text.translate(None, SAFE) and not any(run in text for run in RUNS)
+        if plain and (text.isascii() or not JOINED.search(text.decode("utf-8", "replace"))):
             # Every stop and comma is a token of its own, so words come without them.
             text = text.lower().replace(b".", b" . ").replace(b",", b" , ")
         return text.split()
