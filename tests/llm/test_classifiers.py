@@ -161,3 +161,37 @@ def test_models_tell_held_out_urls_apart(spark):
     model = url_filter.fit(known, 4, 2, 400_000)
     found = url_filter.scored(known.filter("apart"), model, ["y"]).toPandas()
     assert auc(found.score.values, found.y.values) > 0.95
+
+
+def brute_scores(spark, pages, order=4, least=2):
+    """The score of every text by the model in memory, over all runs seen ``least`` times."""
+    seen = {}
+    for r in url_filter.known(pages, url_filter.RULES).filter("NOT apart").collect():
+        marked = "\x02" + r.t.lower() + "\x03"
+        for n in range(1, order + 2):
+            for i in range(len(marked) - n + 1):
+                seen.setdefault(marked[i : i + n], [0, 0])[1 - r.y] += 1
+    grams = {g: tuple(v) for g, v in seen.items() if sum(v) >= least}
+    return url_filter.Model(grams, order), len(grams)
+
+
+def url_scores(pages):
+    return [(r.url.split("://", 1)[1] if "://" in (r.url or "") else "", r.score) for r in url_filter.judge(pages).join(pages, "page_id").collect()]
+
+
+def test_url_scores_equal_the_model_in_memory(spark, sf):
+    odd = spark.createDataFrame([(10**9 + i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").unionByName(odd)
+    model, _ = brute_scores(spark, pages)
+    assert all(abs(score - model.score(t)) < 1e-9 for t, score in url_scores(pages))
+
+
+def test_no_run_of_characters_is_lost_with_more_pages(spark):
+    random = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    tails = ["".join(row) for row in letters[random.integers(0, 36, (7000, 100))]]
+    urls = [f"http://{('a.com', 'b.net/es')[i % 2]}/{t}" for i, t in enumerate(tails)] * 2 + [f"http://c.org/{t[:40]}" for t in tails[:200]]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    model, size = brute_scores(spark, pages)
+    assert size > 400_000
+    assert all(abs(score - model.score(t)) < 1e-9 for t, score in url_scores(pages) if t.startswith("c.org"))
