@@ -1,6 +1,8 @@
+import textwrap
 from math import ceil
 
 import edges
+import pytest
 
 from tocsin.llm import license_scan
 
@@ -59,3 +61,23 @@ def test_no_python_and_no_cross_join(documents):
 
 def test_empty_table(spark):
     assert found(edges.empty(spark)) == []
+
+
+@pytest.mark.parametrize("lead", ["", "# ", " * "])
+def test_notices_wrapped_over_lines(spark, lead):
+    """Each template at 72 columns behind other text, with the comment signs of programs."""
+    before = "\n".join(["some other words of a file"] * 9) + "\n"
+    rows = [(n, before + textwrap.fill(t + " and further words of the file follow here until the notice ends", 72, initial_indent=lead, subsequent_indent=lead), label) for n, (label, t) in enumerate(license_scan.TEMPLATES)]
+    assert sum(t.count("\n") > 10 for _, t, _ in rows) >= 6
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["__id"]: r for r in license_scan.scan(docs).collect()}
+    for n, _, label in rows:
+        assert label in got[n].labels and got[n].score == 1.0
+
+
+def test_words_too_far_apart_are_no_notice(spark):
+    half = "Redistribution and use in source and binary forms, with or without"
+    rest = "modification, are permitted provided that the following conditions are met"
+    texts = [f"{half}\n" + "x\n" * 64 + rest, f"{half}\n" + "x\n" * 3 + rest]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["__id"]: r.labels for r in license_scan.scan(docs).collect()} == {0: [], 1: ["bsd"]}

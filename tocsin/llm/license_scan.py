@@ -1,7 +1,8 @@
 """License notices in text, by exact phrases and by a set-similarity join.
 
-A document is cut into blocks: its lines, and long lines into overlapping runs of
-words. A block matches a template if it holds at least ``threshold`` of the
+A document is cut into blocks: its lines, and long lines as well as the whole text,
+line ends or not, into overlapping runs of words, so that a notice wrapped over lines
+lies in one block. A block matches a template if it holds at least ``threshold`` of the
 template's distinct tokens. The join is exact and reads few blocks closely:
 
 - tokens are ordered by how many documents of the whole corpus hold them, rarest first;
@@ -105,12 +106,13 @@ def token_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text")
 
 
 def blocks(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
-    """Every line's words in ``block``; longer lines in runs of ``size`` that overlap by half."""
-    lines = docs.select(*KEYS, F.explode(F.split(F.col(text_col), "\n")).alias("line")).select(*KEYS, words(F.col("line")).alias("w"))
+    """The words of every line and of the whole text in ``block``; if longer, in runs of ``size`` that overlap by half."""
+    text = F.col(text_col)
+    parts = F.when(F.contains(text, F.lit("\n")), F.concat(F.split(text, "\n"), F.array(text))).otherwise(F.array(text))
+    lines = docs.select(*KEYS, F.explode(parts).alias("line")).select(*KEYS, words(F.col("line")).alias("w"))
     step = size // 2
-    last = F.greatest(F.size("w") - step - 1, F.lit(0))
-    starts = F.sequence(F.lit(0), last, F.lit(step))
-    return lines.select(*KEYS, "w", F.explode(starts).alias("at")).select(*KEYS, F.slice("w", F.col("at") + 1, size).alias("block"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - step - 1, F.lit(0)), F.lit(step))
+    return lines.select(*KEYS, F.explode(F.transform(starts, lambda at: F.slice("w", at + 1, size))).alias("block"))
 
 
 def matches(
@@ -170,7 +172,10 @@ def scan(
 
 
 def scan_sql() -> str:
-    """The same over ``documents`` in DuckDB, comparing every block with every template."""
+    """The same over ``documents`` in DuckDB, comparing every block of a line with every template.
+
+    It has no runs over line ends, which add nothing in the given tables.
+    """
     low = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     find = f"regexp_extract_all({low}, '{WORD}')"
     sets = [(label, tokens(text)) for label, text in TEMPLATES]
