@@ -93,6 +93,16 @@ def test_field_learns_what_is_boilerplate(big):
     assert right > 0.98
 
 
+def test_field_learns_from_lines_behind_the_first_200(spark):
+    plain, junk = [f"The {i} th plain sentence ends here." for i in range(200)], [f"menu | {i} # >>" for i in range(200)]
+    texts = [(i, "\n".join(plain + (junk if i % 2 else plain[::-1]))) for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(20)], "doc_id long, quality int")
+    field = line_crf.train(docs, labels)
+    content = {r["__id"]: r.content for r in line_crf.judge(docs, field).collect()}
+    assert max(content[i] for i in range(1, 20, 2)) < min(content[i] for i in range(0, 20, 2))
+
+
 def repeat_words(w):
     runs = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
     hit = {j for i, run in enumerate(runs) if runs.count(run) > 1 for j in (i, i + 1, i + 2)}

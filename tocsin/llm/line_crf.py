@@ -120,10 +120,10 @@ class Field:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, per_class: int = 600, epochs: int = 4, rate: float = 0.5, most_lines: int = 200,
+    docs: DataFrame, labels: DataFrame, per_class: int = 600, epochs: int = 4, rate: float = 0.5,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
 ) -> Field:
-    """A field from labelled documents; of a document longer than ``most_lines`` the first lines teach."""
+    """A field from all lines of the labelled documents chosen, about ``per_class`` of each label."""
     marked = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     marked = marked.groupBy(F.col(id_col).cast("long").alias(ID)).agg(F.max(label_col).cast("int").alias("label"))
     counts = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
@@ -136,7 +136,7 @@ def train(
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [described(t)[0][:most_lines] for t in batch.column(1).to_pylist()]
+            lines = [described(t)[0] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.list_(pa.list_(pa.int32())))], ["label", "lines"])
 
     found = map_arrow(rows.select("label", TEXT), make, "label int, lines array<array<int>>").collect()
