@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import edges
+from pyspark.sql import functions as F
 
 from tocsin.llm import line_dedup
 
@@ -75,3 +76,20 @@ def test_clean_keeps_rows_and_columns(spark):
 
 def test_empty_table(spark):
     assert found(edges.empty(spark), 2) == [] and line_dedup.clean(edges.empty(spark)).collect() == []
+
+
+def test_totals_and_compaction_decide_the_rows(spark, documents, monkeypatch):
+    seen = []
+    close = line_dedup.LineRuns.close
+
+    def look(store):
+        runs = store.runs().groupBy("line").agg(F.sum("n").alias("n"), F.max("total").alias("total"))
+        again = sum(spark.table(n).groupBy("line").count().filter("count > 1").count() for level in store.levels for n in level)
+        seen.append(([len(level) for level in store.levels], runs.filter("n != total").count() + again, runs.count()))
+        close(store)
+
+    monkeypatch.setattr(line_dedup.LineRuns, "close", look)
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert found(documents, 10) == brute(rows, 10)
+    (levels, off, lines), = seen
+    assert levels == [1, 1] and off == 0 and lines

@@ -1,13 +1,13 @@
 """Lines that many documents share, kept in levelled sorted runs.
 
-``LineRuns`` is a store of ``(line, n, known)`` rows: a 64-bit hash of the line's
-key, the documents of the batch that hold it, and whether an earlier batch held it.
-Each batch is one sorted, bucketed run. Adding a batch merge-joins its lines with
-the runs that are there: the anti join gives the lines that are new. ``fanout`` runs
-of a level are compacted into one of the next, so a store of b batches has
-O(fanout * log b) runs, and every line is rewritten O(log b) times.
-
-Runs are bucketed and sorted by line, so that merging them moves no rows. A line
+``LineRuns`` is a store of ``(line, n, total, known)`` rows: a 64-bit hash of the line's
+key, the documents of the batch that hold it, those of this and all earlier batches, and
+whether an earlier batch held it. Each batch is one sorted, bucketed run. Adding a batch
+merge-joins its lines with the runs that are there: the largest total of a line is that
+of all batches so far. ``fanout`` runs of a level are compacted into one of the next, so
+a store of b batches has O(fanout * log b) runs, and every line is rewritten O(log b) times.
+
+Runs are bucketed and sorted by line, so that joining them moves no rows. A line
 appears once in a run, so no bucket is hot. Only counts and hashes are stored.
 
 Defined results: a null or empty text is one empty line; the empty key never
@@ -31,7 +31,10 @@ from tocsin.session import new_path
 
 #: Fixed by the contract: what is stripped from both ends of a line.
 BLANKS = b" \t\n\x0b\f\r"
-RUN = "line long, n long, known boolean"
+RUN = "line long, n long, total long, known boolean"
+FANOUT = 4
+#: Lines of a batch, counted once for each document.
+BATCH_LINES = 50_000_000
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -55,7 +58,7 @@ class LineRuns:
     by this object, at most ``fanout`` entries for each level.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int, fanout: int = 4):
+    def __init__(self, spark: SparkSession, buckets: int, fanout: int = FANOUT):
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
         self.levels: list[list[str]] = []
 
@@ -84,19 +87,17 @@ class LineRuns:
     def add(self, lines: DataFrame) -> str:
         """Add a batch, given as one row ``line`` for each document and distinct line.
 
-        Lines are folded before they are dealt out. The batch's lines are anti-joined
-        with every run in turn; what remains is new to the store, the rest is known.
+        Lines are folded before they are dealt out. The batch's lines are joined with
+        every run; a line's total is its count on top of the largest total found.
         """
-        own = self._write(lines.groupBy("line").agg(F.count("*").alias("n")).withColumn("known", F.lit(False)))
+        own = self._write(lines.groupBy("line").agg(F.count("*").alias("n")).select("line", "n", F.col("n").alias("total"), F.lit(False).alias("known")))
         held = [name for level in self.levels for name in level]
         if held:
-            fresh = self.spark.table(own)
-            for name in held:
-                fresh = fresh.join(self.spark.table(name).hint("merge"), "line", "left_anti")
-            marked = self.spark.table(own).drop("known").join(
-                fresh.select("line", F.lit(False).alias("known")).hint("merge"), "line", "left"
-            )
-            run = self._write(marked.select("line", "n", F.coalesce("known", F.lit(True)).alias("known")))
+            marked = self.spark.table(own).select("line", "n")
+            for k, name in enumerate(held):
+                marked = marked.join(self.spark.table(name).select("line", F.col("total").alias(f"t{k}")).hint("merge"), "line", "left")
+            before = F.greatest(F.lit(0), *[F.coalesce(f"t{k}", F.lit(0)) for k in range(len(held))])
+            run = self._write(marked.select("line", "n", (F.col("n") + before).alias("total"), (before > 0).alias("known")))
             self._drop([own])
             own = run
         self._place(own, 0)
@@ -112,10 +113,14 @@ class LineRuns:
             self._drop(full)
 
     def _folded(self, names: list[str]) -> DataFrame:
-        frame = self.spark.table(names[0])
-        for name in names[1:]:
-            frame = frame.unionByName(self.spark.table(name))
-        return frame.groupBy("line").agg(F.sum("n").alias("n"), F.min("known").alias("known"))
+        # Spark 4.1 takes a union of bucketed tables for parted by line and doesn't fold it
+        # whole; of another key it knows nothing.
+        frame = None
+        for name in names:
+            run = self.spark.table(name).select(F.bitwise_not("line").alias("key"), "n", "total", "known")
+            frame = run if frame is None else frame.unionByName(run)
+        folded = frame.groupBy("key").agg(F.sum("n").alias("n"), F.max("total").alias("total"), F.min("known").alias("known"))
+        return folded.select(F.bitwise_not("key").alias("line"), "n", "total", "known")
 
     def fresh(self, name: str) -> DataFrame:
         """Lines of a run that no earlier batch held."""
@@ -123,7 +128,7 @@ class LineRuns:
 
     def frequent(self, min_docs: int) -> DataFrame:
         """Lines found in at least so many documents of all batches together."""
-        return self.runs().groupBy("line").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("line")
+        return self.runs().filter(F.col("total") >= min_docs).select("line").distinct()
 
     def close(self) -> None:
         self._drop([name for level in self.levels for name in level])
@@ -147,22 +152,25 @@ def distinct_lines(docs: DataFrame, min_chars: int, id_col: str = "doc_id", text
 
 
 def frequent_lines(
-    docs: DataFrame, min_docs: int, min_chars: int, batches: int = 3, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_docs: int, min_chars: int, batches: int | None = None, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Row keys and ``frequent``, the hashes of a document's lines that are to go.
 
-    Hashes of all lines are written once; batches of them, parted by row key, go
-    through the store. Frequent lines come back to their documents by a join on the
+    Hashes of all lines are written once; batches of them, parted by row key and
+    more than a level holds, go through the store. Frequent lines come back to their documents by a join on the
     line, whose hot keys Spark splits, and are folded to one list per document, which
     is never longer than the document.
     """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = stored(distinct_lines(docs, min_chars, id_col, text_col), "lines")
+    if batches is None:
+        held = hashed.agg(F.sum(F.size("lines")).alias("n")).first().n or 0
+        batches = max(FANOUT + 1, held // BATCH_LINES)
     batch = F.pmod(F.xxhash64(ID, MARK), F.lit(batches)).cast("int")
-    hashed = stored(distinct_lines(docs, min_chars, id_col, text_col).withColumn("batch", batch), "lines")
     store = LineRuns(spark, buckets)
     for n in range(batches):
-        store.add(hashed.filter(F.col("batch") == n).select(F.explode("lines").alias("line")))
+        store.add(hashed.filter(batch == n).select(F.explode("lines").alias("line")))
     gone = stored(store.frequent(min_docs), "frequent")
     store.close()
     found = hashed.select(*KEYS, F.explode("lines").alias("line")).join(gone, "line", "left_semi")
@@ -179,7 +187,7 @@ def without(text: bytes, frequent: list[int] | None, min_chars: int) -> list[byt
 
 
 def drop_frequent_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 3, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Row keys, ``n_lines``, ``n_dropped`` and the kept text of every row."""
     min_chars = max(1, min_chars)
