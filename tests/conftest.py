@@ -6,15 +6,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from helpers import SCHEMA  # noqa: E402
 from tocsin.session import get_session, new_path  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
-SCHEMA = (
-    "incident_id string, timestamp timestamp, incident_type string, severity string, zone string, "
-    "response_time double"
-)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -49,9 +43,3 @@ def incidents(spark):
         ("a7", t, None, "severe", "East", -5.0),
     ]
     return spark.createDataFrame(rows, SCHEMA)
-
-
-def rows_of(df, *columns):
-    """Rows as plain tuples in a fixed order, nulls first."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=lambda r: [(v is not None, str(v)) for v in r])

@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from conftest import SF_DIR
+from helpers import SF_DIR
+from tocsin.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def _shown(rows, order):
     return sorted(tuple(repr(row[i] + 0.0 if isinstance(row[i], float) else row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = driver.queries()[name](spark, SF_DIR)
     answer = duck.execute(driver.oracle_sql()[name])

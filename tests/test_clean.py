@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SCHEMA, rows_of
+from helpers import SCHEMA, rows_of
 from tocsin.functions import scalar
 from tocsin.operators import clean
 

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SCHEMA, rows_of
+from helpers import SCHEMA, rows_of
 from tocsin.operators import clean, quality
 from tocsin.plans import jobs
 from tocsin.sources import files

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows_of
+from helpers import rows_of
 from tocsin.operators import quality, ranking, tables
 
 few = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import SCHEMA, rows_of
+from helpers import SCHEMA, rows_of
 from tocsin.operators import quality
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from tocsin.operators import layout, ranking, reports
 
 

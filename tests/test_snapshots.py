@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows_of
+from helpers import rows_of
 from tocsin.operators.snapshots import SchemaMismatch, SnapshotTable
 
 DDL = "incident_id string, severity string"

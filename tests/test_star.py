@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 import pytest
 
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from tocsin import schemas

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from tocsin import schemas
 from tocsin.operators import reports
 from tocsin.sources import messages

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from conftest import SCHEMA, rows_of
+from helpers import SCHEMA, rows_of
 from tocsin import schemas
 from tocsin.operators import tables
 from tocsin.sources import files, messages
