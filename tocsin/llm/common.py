@@ -60,6 +60,14 @@ def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.withColumns({ID: row_id(id_col), MARK: text_mark(text_col)})
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until the frame has no such column."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(make, schema)
 

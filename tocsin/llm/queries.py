@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup, url_filter
+from tocsin.llm import fair_mix, license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup, url_filter
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,40 @@ def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_url_filter")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+MIX_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('0:' || coalesce(doc_id::VARCHAR, '')) AS shuffled
+  FROM documents),
+src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM src),
+level(k, x) AS (
+  SELECT 0, (SELECT (1.5::DOUBLE * sum(source_size)::DOUBLE) / sum(weight)::DOUBLE FROM w)
+  UNION ALL
+  SELECT k + 1, (1.5::DOUBLE * sum(source_size)::DOUBLE - coalesce(sum(2 * source_size) FILTER (WHERE weight * x > 2 * source_size), 0)::DOUBLE)
+                / nullif(sum(weight) FILTER (WHERE weight * x <= 2 * source_size), 0)::DOUBLE
+  FROM level, w WHERE k < (SELECT count(*) FROM w) GROUP BY k, x),
+t AS (
+  SELECT source, source_size, place, coalesce(least(2 * source_size, weight * x), 2 * source_size)::DOUBLE AS target
+  FROM w, (SELECT x FROM level ORDER BY k DESC LIMIT 1)),
+q AS (
+  SELECT d.*, source_size, place, target,
+         sum(size) OVER (PARTITION BY d.source ORDER BY shuffled, size ROWS UNBOUNDED PRECEDING)::BIGINT AS cum,
+         row_number() OVER () AS id
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+turn AS (
+  SELECT id, size, place, cum + c * source_size AS reached, (cum + c * source_size)::DOUBLE / target AS finish
+  FROM q, (VALUES (0), (1)) AS copies(c) WHERE size > 0),
+cut AS (SELECT id, size, sum(size) OVER (ORDER BY finish, place, reached ROWS UNBOUNDED PRECEDING) AS total FROM turn),
+got AS (SELECT id, sum(size)::BIGINT AS taken FROM cut WHERE total <= 1.5::DOUBLE * (SELECT sum(size) FROM d)::DOUBLE GROUP BY id)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN got USING (id)
+"""
+
+
+@query("op13_fair_mix", MIX_SQL)
+def op13_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = fair_mix.plan(table(spark, sf_dir, "documents"), share=1.5, most=2, weights=(5, 2, 1))
+    return fair_mix.accounts(mix).select("doc_id", "size", "source_size", "target", "taken")
