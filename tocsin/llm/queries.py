@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import fair_mix, license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup, url_filter
+from tocsin.llm import fair_mix, license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup, turn_repair, url_filter
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +194,97 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FR
 def op13_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = fair_mix.plan(table(spark, sf_dir, "documents"), share=1.5, most=2, weights=(5, 2, 1))
     return fair_mix.accounts(mix).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as the contract damages them; nulls are one space."""
+    convs = table(spark, sf_dir, "conversations")
+    spaced = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in convs.columns}
+    kind = F.crc32(F.concat_ws(":", spaced["conv_id"], spaced["turn"]).cast("binary")) % 20
+    rows = convs.select(
+        "conv_id", "turn", kind.alias("kind"), F.when(kind == 4, "user").otherwise(spaced["role"]).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(spaced["text"], "[.!?]", "")).otherwise(spaced["text"]).alias("text"),
+    )
+    twice = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return rows.filter("kind != 0").select("conv_id", "turn", "role", "text", twice)
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE
+tab AS (
+  SELECT list(c ORDER BY i) AS t
+  FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda x, y: CASE WHEN x & 1 = 1 THEN xor(3988292384::BIGINT, x >> 1) ELSE x >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS i))),
+spaced AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+crc AS (
+  SELECT conv_id, turn, role, text,
+         xor(4294967295::BIGINT,
+             list_reduce([4294967295::BIGINT] || list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT),
+                         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM spaced, tab),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM crc WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         rtrim(text, E' \t\n\x0b\f\r') AS trimmed FROM damaged),
+marked AS (
+  SELECT *, trimmed = '' AS blank, trimmed <> '' AND row_number() OVER (PARTITION BY conv_id, role, md5(text) ORDER BY i) > 1 AS again,
+         left(role, 1) AS r, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS next_r FROM placed),
+rows AS (
+  SELECT *, blank OR again AS must_go, NOT blank AND NOT again AND right(trimmed, 1) NOT IN ('.', '!', '?') AS cut FROM marked),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+         count(*) FILTER (WHERE next_r IS NOT NULL AND r || next_r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows GROUP BY conv_id),
+moves(q, ins, op, r, to_q, cost, emits) AS (
+  SELECT a.q, a.ins, b.op, b.r, b.to_q, a.cost + b.cost, a.emits || b.emits
+  FROM (VALUES (0, '', 0, 0, ''), (1, '', 1, 0, ''), (2, '', 2, 0, ''), (3, '', 3, 0, ''),
+               (0, 'I', 2, 2, 'u'), (1, 'I', 2, 2, 'u'), (2, 'I', 3, 2, 'a'), (3, 'I', 2, 2, 'u'),
+               (0, 'II', 3, 4, 'ua'), (1, 'II', 3, 4, 'ua')) AS a(q, ins, q2, cost, emits)
+  JOIN (VALUES (0, 'D', NULL, 0, 3, ''), (1, 'D', NULL, 1, 3, ''), (2, 'D', NULL, 2, 3, ''), (3, 'D', NULL, 3, 3, ''),
+               (0, 'K', 's', 1, 0, 'k'), (0, 'K', 'u', 2, 0, 'k'), (1, 'K', 'u', 2, 0, 'k'), (2, 'K', 'a', 3, 0, 'k'), (3, 'K', 'u', 2, 0, 'k'),
+               (0, 'R', NULL, 2, 2, 'U'), (1, 'R', NULL, 2, 2, 'U'), (2, 'R', NULL, 3, 2, 'A'), (3, 'R', NULL, 2, 2, 'U')
+       ) AS b(q, op, r, to_q, cost, emits) ON a.q2 = b.q),
+walk(conv_id, i, q, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'emits': []::VARCHAR[]} FROM faults
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, m.to_q,
+         min({'cost': w.best.cost + m.cost + CASE WHEN cut AND m.op <> 'D' THEN 1 ELSE 0 END,
+              'audit': w.best.audit || m.ins || m.op,
+              'emits': w.best.emits || list_transform(string_split(m.emits, ''), lambda e:
+                         CASE e WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' WHEN 'U' THEN 'user:' || text
+                                WHEN 'A' THEN 'assistant:' || text WHEN 'k' THEN role || ':' || text END)})
+  FROM walk w JOIN rows x ON w.conv_id IS NOT DISTINCT FROM x.conv_id AND x.i = w.i + 1
+  JOIN moves m ON m.q = w.q AND (m.op = 'D' OR NOT must_go) AND (m.r IS NULL OR m.r = x.r)
+  GROUP BY w.conv_id, w.i, m.to_q),
+ends AS (
+  SELECT f.conv_id, min({'cost': best.cost + e.cost, 'audit': best.audit || e.ins, 'emits': best.emits || e.emits}) AS best
+  FROM faults f JOIN walk w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.n
+  JOIN (VALUES (0, 0, '', []::VARCHAR[]), (3, 0, '', []), (2, 2, 'I', ['assistant:']), (1, 4, 'II', ['user:', 'assistant:'])) AS e(q, cost, ins, emits) ON e.q = w.q
+  GROUP BY f.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(list_filter(best.emits, lambda e: e IS NOT NULL), chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op12_turn_repair", REPAIR_SQL)
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = turn_repair.repair(_damaged(spark, sf_dir))
+    named = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.lit(1).alias("one")).select("conv_id", turn_repair.conversation().alias("c"))
+    out = named.join(found.summary(), "c", "left").join(found.digests(), "c", "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
