@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import fair_mix, license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, pu_toxicity, subword_quality, substring_dedup, turn_repair, url_filter
+from tocsin.llm import fair_mix, license_scan, line_crf, line_dedup, ngram_join, packing, phrase_index, phrase_mining, pu_toxicity, subword_quality, substring_dedup, turn_repair, url_filter
 from tocsin.llm.common import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,3 +288,40 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, w[i:i + m - 1] AS g, m
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4), (5)) AS widths(m) WHERE len(w) >= m)),
+f AS (SELECT lang, g, m, count(*) AS f FROM grams GROUP BY lang, g, m HAVING count(*) >= 100),
+inner_parts AS (
+  SELECT lang, g[i:i + k - 1] AS g, max(f) AS longer
+  FROM (SELECT lang, g, f, m, k, unnest(range(1, m - k + 2)) AS i FROM f, (VALUES (2), (3), (4)) AS widths(k) WHERE k < m)
+  GROUP BY 1, 2),
+kept AS (
+  SELECT f.* FROM f LEFT JOIN inner_parts p ON p.lang = f.lang AND p.g = f.g WHERE m >= 2 AND (longer IS NULL OR 100 * longer < 100 * f)),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, n, k, x.f AS l, y.f AS r,
+         (1000::HUGEINT * c.f::HUGEINT * n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c JOIN sizes USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+least_cut AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+         array_to_string(g, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM least_cut)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_mining", PHRASES_SQL)
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_mining.mine(table(spark, sf_dir, "documents"), min_count=100, most_words=5)
+    return phrase_mining.top(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
