@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -41,6 +42,8 @@ def test_clean_gives_the_published_values(spark, path):
         [("a", None), (None, 99.0), (None, 1.0)],
         [(None, 5.0)],
         [("a", None)],
+        [("a", 1.0), ("b", float("nan")), ("c", None), ("d", 3.0)],
+        [("a", float("nan")), (None, 2.0)],
         [],
     ],
 )
@@ -101,3 +104,19 @@ def test_capstone_on_good_rows(spark, path, good):
     dashboard, passed = jobs.capstone(good, path("capstone"), "r1")
     assert passed is True
     assert sum(r["critical_count"] for r in dashboard.collect()) == 15
+
+
+def test_failed_csv_and_table_leave_the_old_content_alone(spark, path):
+    good = spark.createDataFrame([(1, "a")], "k int, v string")
+    bad = spark.range(4).select(F.col("id").cast("int").alias("k"), F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    folder = path("out")
+    spark.range(1).write.parquet(f"{folder}/keep")
+    for write, read in ((files.write_csv, files.read_csv), (files.replace_table, lambda s, p, schema: s.read.schema(schema).parquet(p))):
+        target = f"{folder}/{write.__name__}"
+        write(good, target)
+        with pytest.raises(Exception, match="lost"):
+            write(bad, target)
+        assert rows_of(read(spark, target, good.schema)) == [(1, "a")]
+        write(good.unionByName(good), target)
+        assert read(spark, target, good.schema).count() == 2
+    assert sorted(os.listdir(folder)) == ["keep", "replace_table", "write_csv"]

@@ -213,3 +213,9 @@ def test_console(spark, places):
 def test_broker_source_asks_for_its_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         messages.kafka_stream(spark, "localhost:9092", "alerts")
+
+
+def test_readers_before_the_first_batch(spark, path):
+    out = path("ingest")
+    assert run.rejected(spark, out).count() == run.alert_totals(spark, out).count() == run.stored_alerts(spark, out).count() == 0
+    assert run.fold_alerts(spark, out) == -1

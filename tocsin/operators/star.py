@@ -28,24 +28,36 @@ def dim_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     )
 
 
-def _numbered(df: DataFrame, id_name: str, shape) -> DataFrame:
-    natural = [f for f in shape if f.name != id_name]
-    full = add_missing(df, shape).select(*[F.col(f.name).cast(f.dataType) for f in natural])
-    return number_keys(full, id_name)
+def natural(df: DataFrame, shape) -> DataFrame:
+    """The dimension's columns without its id, typed; those the source lacks are null."""
+    full = add_missing(_known(df, shape), shape)
+    return full.select(*[F.col(f.name).cast(f.dataType) for f in shape if not f.name.endswith("_id")])
 
 
 def dim_location(df: DataFrame) -> DataFrame:
     """Places by zone and whatever finer columns the source has."""
-    return _numbered(_known(df, schemas.DIM_LOCATION), "location_id", schemas.DIM_LOCATION)
+    return number_keys(natural(df, schemas.DIM_LOCATION), "location_id")
 
 
 def dim_unit(df: DataFrame) -> DataFrame:
-    return _numbered(_known(df, schemas.DIM_UNIT), "unit_id", schemas.DIM_UNIT)
+    return number_keys(natural(df, schemas.DIM_UNIT), "unit_id")
 
 
 def dim_severity(df: DataFrame) -> DataFrame:
     """The declared fact refers to a severity that no declared dimension holds."""
-    return _numbered(_known(df, schemas.DIM_SEVERITY), "severity_id", schemas.DIM_SEVERITY)
+    return number_keys(natural(df, schemas.DIM_SEVERITY), "severity_id")
+
+
+def added(df: DataFrame, dim: DataFrame, id_name: str, greatest: int) -> DataFrame:
+    """Rows of ``df`` that the dimension lacks, numbered from ``greatest + 1`` without
+    gaps. Ids that are given out stay: only new rows are numbered. Nulls equal nulls."""
+    columns = [c for c in dim.columns if c != id_name]
+    held = dim.select(*[F.col(c).alias(f"_dim_{c}") for c in columns])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_dim_{c}"))
+    new = number_keys(df.select(*columns).distinct().join(held, same, "left_anti"), id_name)
+    return new.withColumn(id_name, F.col(id_name) + greatest)
 
 
 def _known(df: DataFrame, shape) -> DataFrame:
@@ -66,6 +78,37 @@ def lookup(df: DataFrame, dim: DataFrame, id_name: str, **on: Column | str) -> D
     return df.join(keys, condition, "left").drop(*[f"_dim_{c}" for c in on])
 
 
+def with_ids(
+    facts: DataFrame,
+    tables: dict[str, DataFrame],
+    places: DataFrame,
+    units: DataFrame,
+    crews: DataFrame | None = None,
+    on: tuple[str, str] | None = None,
+    severity: str = "severity",
+) -> DataFrame:
+    """Facts with the ids of the dimensions in ``tables``.
+
+    ``places`` and ``units`` hold the natural columns of the dimensions. Facts either
+    hold them too, or refer by ``on`` (fact column, crew column) to ``crews``, which do.
+    Then ids are looked up on the crews, the smaller side, and the facts are shuffled
+    for one join only.
+    """
+    holder = facts if crews is None else crews
+    by_place = [c for c in ("zone", "district", "city", "lat", "lon") if c in places.columns]
+    by_unit = [c for c in ("unit_name", "unit_type", "base_station") if c in units.columns]
+    placed = lookup(holder, tables["dim_location"], "location_id", **{c: c for c in by_place})
+    placed = lookup(placed, tables["dim_unit"], "unit_id", **{c: c for c in by_unit})
+    if crews is not None:
+        fact_column, crew_column = on
+        repeated = crews.groupBy(crew_column).count().filter(F.col("count") > 1)
+        if not repeated.filter(F.col(crew_column).isNotNull()).isEmpty():
+            raise ValueError(f"{crew_column} repeats among the crews, so facts would multiply")
+        ids = placed.select(F.col(crew_column).alias("_crew"), "location_id", "unit_id")
+        placed = facts.join(ids, F.col(fact_column) == F.col("_crew"), "left")
+    return lookup(placed, tables["dim_severity"], "severity_id", severity=severity)
+
+
 def fact(
     df: DataFrame,
     key: str = "incident_id",

@@ -17,6 +17,7 @@ from tocsin import schemas
 from tocsin.functions import scalar
 from tocsin.operators import clean, layout, quality, ranking, reports, star, tables
 from tocsin.operators.snapshots import SnapshotTable
+from tocsin.operators.star_store import StarStore
 from tocsin.plans import jobs
 from tocsin.session import new_path
 from tocsin.sources import files, messages, standin
@@ -756,6 +757,48 @@ def star_incidents(spark, sf_dir):
     return star.named(loaded).select(_FACT_COLUMNS)
 
 
+_FIRST_HALF = "o_orderdate < DATE '1995-07-01'"
+
+
+@query(
+    "star_reload",
+    f"""WITH used AS (
+      SELECT c_custkey, min(CASE WHEN {_FIRST_HALF} THEN 0 ELSE 1 END) AS added_by
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey)
+    SELECT CAST(o_orderkey AS VARCHAR) AS incident_id, CAST(o_orderdate AS DATE) AS date,
+           CAST(hour(o_orderdate) AS INTEGER) AS hour, r_name AS zone, n_name AS district, c_name AS unit_name,
+           c_mktsegment AS unit_type, o_orderpriority AS severity, o_totalprice AS response_time_seconds,
+           o_orderstatus AS outcome, TRUE AS id_lasts,
+           (SELECT count(*) FROM (SELECT DISTINCT c_name, c_mktsegment, c_nationkey FROM customer JOIN used USING (c_custkey))) AS units,
+           (SELECT count(*) FROM (SELECT DISTINCT c_name, c_mktsegment, c_nationkey FROM customer JOIN used USING (c_custkey))) AS last_unit_id
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
+)
+def star_reload(spark, sf_dir):
+    """Orders in two loads, each with the crews it needs; the second one is sent twice.
+    ``id_lasts``: the unit of a fact has the id that the first load gave it, if it gave one."""
+    crews, orders = standin.crews(spark, sf_dir), standin.table(spark, sf_dir, "orders")
+    store = StarStore(spark, new_path(spark, "star"))
+    early = F.coalesce(F.expr(_FIRST_HALF), F.lit(False))
+    for run_id, part in (("first", early), ("second", ~early), ("second", ~early)):
+        facts = orders.filter(part)
+        own = crews.join(facts.select("o_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+        store.load(
+            facts, run_id, places=own.select("zone", "district"), units=own.select("unit_name", "unit_type", "base_station"),
+            crews=own, on=("o_custkey", "c_custkey"), key="o_orderkey", ts="o_orderdate", seconds="o_totalprice",
+            severity="o_orderpriority", outcome="o_orderstatus",
+        )
+    loaded, first = store.tables(), store.tables(up_to=0)["dim_unit"]
+    before = first.select(F.col("unit_id").alias("old_id"), *[F.col(c).alias(f"old_{c}") for c in first.columns[1:]])
+    facts = star.named(loaded)
+    same = [facts[c].eqNullSafe(before[f"old_{c}"]) for c in first.columns[1:]]
+    facts = facts.join(before, same[0] & same[1] & same[2], "left")
+    lasts = F.col("old_id").isNull() | (F.col("old_id") == F.col("unit_id"))
+    units = loaded["dim_unit"].agg(F.count("*")).scalar().alias("units")
+    last_unit = loaded["dim_unit"].agg(F.max("unit_id")).scalar().alias("last_unit_id")
+    return facts.select(*[c for c in _FACT_COLUMNS if c != "is_weekend"], lasts.alias("id_lasts"), units, last_unit)
+
+
 # -- jobs ---------------------------------------------------------------------------------
 
 _CLEANED = f"""WITH {INCIDENTS_SQL},

@@ -22,9 +22,9 @@ def cleaned(df: DataFrame, column: str = "response_time", key: str = "incident_i
     The mean is over all rows, also those dropped afterwards; the bounds are over
     the kept rows with their imputed values. Both come from one statistics pass:
     an imputed value is the mean, so it is enough to know whether a kept row
-    lacks its value.
+    lacks its value. NaN counts as missing.
     """
-    value, kept = F.col(column), F.col(key).isNotNull()
+    value, kept = ops.known(df, column), F.col(key).isNotNull()
     measured = df.agg(
         F.avg(value).alias("mean"),
         F.min(F.when(kept, value)).alias("low"),
@@ -38,7 +38,7 @@ def cleaned(df: DataFrame, column: str = "response_time", key: str = "incident_i
     # As a column, so that the plan holds the subquery once and not per use.
     rows = ops.drop_null_key(df, key).withColumn("_stats", stats)
     filled = rows.withColumn(column, F.coalesce(value, F.col("_stats.mean")))
-    scaled = ops.scaled(value, F.col("_stats.low"), F.col("_stats.high"))
+    scaled = ops.scaled(F.col(column), F.col("_stats.low"), F.col("_stats.high"))
     return ops.validate_in(filled.withColumn(f"{column}_normalized", scaled).drop("_stats"))
 
 
@@ -132,10 +132,8 @@ def load_star(
 ) -> dict[str, DataFrame]:
     """Write the dimensions, then the fact table with their ids; returns the tables.
 
-    ``places`` and ``units`` hold the natural columns of the dimensions. Facts
-    either hold them too, or refer by ``on`` (fact column, crew column) to
-    ``crews``, which do. Then ids are looked up on the crews, the smaller side,
-    and the facts are shuffled for one join only.
+    Everything is built anew; ``StarStore`` adds to a star that is there. The arguments
+    are those of ``star.with_ids``.
     """
 
     location, unit, grade, hours = files.replace_tables(
@@ -146,22 +144,7 @@ def load_star(
             f"{root}/dim_time": star.dim_time(facts, ts),
         }
     ).values()
-
-    holder = facts if crews is None else crews
-    by_place = [c for c in ("zone", "district", "city", "lat", "lon") if c in places.columns]
-    by_unit = [c for c in ("unit_name", "unit_type", "base_station") if c in units.columns]
-    placed = star.lookup(holder, location, "location_id", **{c: c for c in by_place})
-    placed = star.lookup(placed, unit, "unit_id", **{c: c for c in by_unit})
-    if crews is not None:
-        fact_column, crew_column = on
-        repeated = crews.groupBy(crew_column).count().filter(F.col("count") > 1)
-        if not repeated.filter(F.col(crew_column).isNotNull()).isEmpty():
-            raise ValueError(f"{crew_column} repeats among the crews, so facts would multiply")
-        ids = placed.select(F.col(crew_column).alias("_crew"), "location_id", "unit_id")
-        placed = facts.join(ids, F.col(fact_column) == F.col("_crew"), "left")
-    ready = star.lookup(placed, grade, "severity_id", severity=severity)
+    dims = {"dim_time": hours, "dim_location": location, "dim_unit": unit, "dim_severity": grade}
+    ready = star.with_ids(facts, dims, places, units, crews, on, severity)
     fact = files.replace_table(star.fact(ready, key, ts, seconds, outcome), f"{root}/fact_incidents")
-    return {
-        "fact_incidents": fact, "dim_time": hours, "dim_location": location,
-        "dim_unit": unit, "dim_severity": grade,
-    }
+    return {"fact_incidents": fact, **dims}

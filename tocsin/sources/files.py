@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,27 +63,35 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_CSV, **_CSV_TIMES).csv(path)
+    """CSV as the new content of ``path``, published like ``replace_table``."""
+    _replace(df.sparkSession, path, lambda fresh: df.write.options(**_CSV, **_CSV_TIMES).csv(fresh))
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as the new content of ``path`` and return the stored table.
+    """Write ``df`` as the new content of ``path`` and return the stored table."""
+    _replace(df.sparkSession, path, df.write.parquet)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    The rows are written beside the old table, which is there until they are complete.
-    """
-    spark = df.sparkSession
+
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write beside the old content, which is there until the new is complete, then
+    swap the folders. A write that fails leaves the old content and nothing else."""
     fresh, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        write(fresh)
+    except Exception:
+        system.delete(hadoop(fresh), True)
+        raise
     moved = system.exists(hadoop(path)) and system.rename(hadoop(path), hadoop(old))
     if not system.rename(hadoop(fresh), hadoop(path)):
         if moved:
             system.rename(hadoop(old), hadoop(path))
+        system.delete(hadoop(fresh), True)
         raise OSError(f"cannot publish {path}")
     if moved:
         system.delete(hadoop(old), True)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def replace_tables(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:

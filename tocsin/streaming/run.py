@@ -84,8 +84,11 @@ def start_all(
 
 
 def written(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """Everything a stream has written, with the ``batch_id`` it came in."""
+    """Everything a stream has written, with the ``batch_id`` it came in. No rows before
+    the first batch."""
     stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    if not files.exists(spark, out):
+        return spark.createDataFrame([], stored)
     return spark.read.schema(stored).parquet(out)
 
 
@@ -166,18 +169,11 @@ def _settled(rows: DataFrame, order: list[str]) -> DataFrame:
     return keyed.unionByName(rows.filter("incident_id IS NULL"))
 
 
-def _batches(spark: SparkSession, out: str) -> DataFrame:
-    """All stored batches; none before the first one is written."""
-    if files.exists(spark, f"{out}/alerts"):
-        return written(spark, f"{out}/alerts", _ARRIVED)
-    return spark.createDataFrame([], T.StructType([*_ARRIVED.fields, T.StructField("batch_id", T.LongType())]))
-
-
 def _arrivals(spark: SparkSession, out: str) -> tuple[DataFrame, SnapshotTable, int]:
     """What is left to settle: the folded table and the batches after it."""
     folded = SnapshotTable(spark, f"{out}/folded")
     last = int(folded.last_run_id() or -1)
-    rows = _batches(spark, out).filter(F.col("batch_id") > last)
+    rows = written(spark, f"{out}/alerts", _ARRIVED).filter(F.col("batch_id") > last)
     return (rows if last < 0 else folded.read().unionByName(rows)), folded, last
 
 
@@ -195,7 +191,7 @@ def fold_alerts(spark: SparkSession, out: str) -> int:
     which may still be in the writing.
     """
     rows, folded, last = _arrivals(spark, out)
-    newest = _batches(spark, out).agg(F.max("batch_id")).first()[0]
+    newest = written(spark, f"{out}/alerts", _ARRIVED).agg(F.max("batch_id")).first()[0]
     finished = -1 if newest is None else newest - 1
     if finished <= last:
         return last
