@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tocsin import schemas
 from tocsin.functions import scalar
 from tocsin.operators import clean, layout, quality, ranking, reports, star, tables
+from tocsin.operators.keyed_store import KeyedTable
 from tocsin.operators.snapshots import SnapshotTable
 from tocsin.operators.star_store import StarStore
 from tocsin.plans import jobs
@@ -548,6 +549,19 @@ def upsert_latest(spark, sf_dir):
     return _with_time(stored)
 
 
+@query("upsert_stored", SQL["upsert_latest"])
+def upsert_stored(spark, sf_dir):
+    """Old alerts, then a first and a second half of the new ones, merged into one stored table."""
+    alerts = _keyed_alerts(spark, sf_dir)
+    new = _new(alerts).select(schemas.STORED_ALERT.names)
+    middle = new.agg(F.percentile_approx(F.unix_seconds(F.col("timestamp").cast("timestamp")), 0.5)).scalar()
+    late = F.coalesce(F.unix_seconds(F.col("timestamp").cast("timestamp")) > middle, F.lit(False))
+    store = KeyedTable(spark, new_path(spark, "keyed"), ["incident_id"], buckets=16)
+    for part in (_old(alerts).select(schemas.STORED_ALERT.names), new.filter(~late), new.filter(late)):
+        store.upsert(part, ["timestamp"])
+    return _with_time(store.read())
+
+
 @query(
     "evolve_schema",
     f"""WITH {INCIDENTS_SQL}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -51,6 +51,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_once(df: DataFrame, label: str) -> DataFrame:
+    """Written to a new path under the shared folder and read back: computed once for
+    several uses, also when an executor is lost."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def together(spark: SparkSession, *actions: Callable[[], object]) -> list:
     """Run independent actions side by side, so that small jobs overlap on the
     cluster. Results come in order; the first failure is raised once all are done."""

@@ -14,8 +14,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tocsin import schemas
 from tocsin.operators import reports, tables
+from tocsin.operators.keyed_store import KeyedTable
 from tocsin.operators.layout import cached
-from tocsin.operators.snapshots import SnapshotTable
 from tocsin.operators.tables import latest_per_key
 from tocsin.session import together
 from tocsin.sources import files
@@ -169,34 +169,40 @@ def _settled(rows: DataFrame, order: list[str]) -> DataFrame:
     return keyed.unionByName(rows.filter("incident_id IS NULL"))
 
 
-def _arrivals(spark: SparkSession, out: str) -> tuple[DataFrame, SnapshotTable, int]:
-    """What is left to settle: the folded table and the batches after it."""
-    folded = SnapshotTable(spark, f"{out}/folded")
-    last = int(folded.last_run_id() or -1)
-    rows = written(spark, f"{out}/alerts", _ARRIVED).filter(F.col("batch_id") > last)
-    return (rows if last < 0 else folded.read().unionByName(rows)), folded, last
+#: Buckets of the folded table; a fold rewrites those that got rows.
+FOLDED_BUCKETS = 256
+
+
+def _arrivals(spark: SparkSession, out: str, buckets: int = FOLDED_BUCKETS) -> tuple[DataFrame, KeyedTable, int]:
+    """The batches that are left to settle, the folded table and its last batch."""
+    folded = KeyedTable(spark, f"{out}/folded", ["incident_id"], buckets)
+    last = folded.last()
+    done = int(last["run_id"]) if last else -1
+    return written(spark, f"{out}/alerts", _ARRIVED).filter(F.col("batch_id") > done), folded, done
 
 
 def stored_alerts(spark: SparkSession, out: str) -> DataFrame:
     """One row per alert key, the last arrival over all batches."""
-    rows, _, _ = _arrivals(spark, out)
+    rows, folded, done = _arrivals(spark, out)
+    if done >= 0:
+        rows = folded.read().unionByName(rows)
     return _settled(rows, ["batch_id", *_ORDER]).select(schemas.STORED_ALERT.names)
 
 
-def fold_alerts(spark: SparkSession, out: str) -> int:
-    """Settle finished batches into a versioned table, so that ``stored_alerts`` need
-    only settle later ones. Returns the last batch folded, -1 for none.
+def fold_alerts(spark: SparkSession, out: str, buckets: int = FOLDED_BUCKETS) -> int:
+    """Settle finished batches into a keyed table, so that ``stored_alerts`` need only
+    settle later ones. Only buckets with keys of those batches are rewritten. Returns
+    the last batch folded, -1 for none.
 
     Call it now and then beside a running intake: it leaves out the newest batch,
     which may still be in the writing.
     """
-    rows, folded, last = _arrivals(spark, out)
+    rows, folded, done = _arrivals(spark, out, buckets)
     newest = written(spark, f"{out}/alerts", _ARRIVED).agg(F.max("batch_id")).first()[0]
     finished = -1 if newest is None else newest - 1
-    if finished <= last:
-        return last
-    settled = _settled(rows.filter(F.col("batch_id") <= finished), ["batch_id", *_ORDER])
-    folded.overwrite(settled, run_id=str(finished))
+    if finished <= done:
+        return done
+    folded.upsert(rows.filter(F.col("batch_id") <= finished), ["batch_id", *_ORDER], run_id=str(finished))
     return finished
 
 
