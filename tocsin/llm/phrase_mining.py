@@ -42,7 +42,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 PLAIN = bytes.maketrans(BREAKS + b"\t" + UPPER, b"\n" * len(BREAKS) + b" " + LOWER)
 #: Bytes of text of one language that become one slice, and that a task holds at most.
-SLICE, HELD = 8 << 20, 24 << 20
+SLICE, HELD = 4 << 20, 12 << 20
 #: Phrases of one trie, about.
 TRIE = 1_000_000
 

@@ -16,36 +16,35 @@ TRY = 256
 
 
 class _Cells:
-    """Free cells, found first-fit; large nodes are placed first."""
+    """Free cells. Nodes of about the same size are placed one behind the other, so that
+    each stretch of cells is tried once for each size."""
 
     def __init__(self, room: int):
         self.used = np.zeros(room, bool)
         self.used[0] = True
-        self.low = 1
+        self.next: dict[int, int] = {}
 
     def place(self, symbols: np.ndarray) -> int:
         """A base at which the cells of all symbols are free; they are taken."""
         least, reach = int(symbols[0]), symbols - symbols[0]
-        start = max(self.low, least + 1)
+        size = len(symbols).bit_length()
+        start = self.next.get(size, 1)
+        start = max(start, least + 1)
         while True:
             if start + reach[-1] + TRY >= len(self.used):
                 self.used = np.concatenate([self.used, np.zeros(len(self.used) + int(reach[-1]) + TRY, bool)])
             firsts = start + np.flatnonzero(~self.used[start : start + TRY])
-            fits = firsts[~self.used[firsts[:, None] + reach].any(1)] if len(reach) < 1000 else self._one_by_one(firsts, reach)
-            if len(fits):
-                base = int(fits[0]) - least
+            for symbol in reach[1:]:
+                if not len(firsts):
+                    break
+                firsts = firsts[~self.used[firsts + symbol]]
+            if len(firsts):
+                base = int(firsts[0]) - least
                 self.used[base + symbols] = True
-                while self.low < len(self.used) and self.used[self.low]:
-                    self.low += 1
+                self.next[size] = max(self.next.get(size, 1), start)
                 return base
             start += TRY
 
-    def _one_by_one(self, firsts: np.ndarray, reach: np.ndarray) -> np.ndarray:
-        for first in firsts:
-            if not self.used[first + reach].any():
-                return np.array([first])
-        return firsts[:0]
-
 
 @dataclass
 class Trie:
