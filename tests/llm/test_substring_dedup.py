@@ -1,4 +1,9 @@
+from collections import defaultdict
+from types import SimpleNamespace
+
 import edges
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tocsin.llm import substring_dedup
@@ -54,3 +59,22 @@ def test_partitioning_does_not_matter(spark, documents):
 
 def test_empty_table(spark):
     assert substring_dedup.remove_repeats(edges.empty(spark)).collect() == []
+
+
+def test_no_bucket_is_hot():
+    """Twenty tasks of equal texts: what is known to go spreads over the documents' buckets."""
+    text, buckets, parts = " ".join(f"w{i}" for i in range(120)).encode(), 30, 20
+    words = substring_dedup.WordHashes().of(text.split())
+    held = defaultdict(int)
+    for task in range(20):
+        every = SimpleNamespace(holds=lambda h: np.ones(len(h), bool))
+        chunk = substring_dedup._Chunk(20, 8, buckets, parts, every)
+        ids = pa.array(range(task * 200, task * 200 + 200), pa.int64())
+        chunk.add(pa.RecordBatch.from_arrays([ids, pa.array([1] * 200, pa.int32()), pa.array([text] * 200)], ["a", "b", "c"]))
+        for row in chunk.send():
+            held[row.column(0)[0].as_py()] += len(row.column(5)[0].as_py()) // 4
+    known = [held[-1 - p] for p in range(parts)]
+    assert sum(known) == 20 * 199 * (len(words) - 19)
+    assert max(known) < 2 * np.median(known)
+    # A window of all documents costs its bucket one entry for each task.
+    assert sum(n for b, n in held.items() if b >= 0) == 20 * (len(words) - 19)

@@ -4,8 +4,10 @@ Every window of ``width`` words has a Rabin-Karp hash. Windows of one hash meet
 one bucket, where all but the earliest (by id, then by place) are told to go;
 overlapping windows of a document then merge into maximal intervals. Most windows
 never leave their task: a window that holds a shorter run found nowhere else (see
-``repeated``) is unique. Of equal windows in one task only the earliest is sent, so
-a window that half of all documents hold costs one row per task.
+``repeated``) is unique. Of equal windows in one task only the earliest is compared
+with others, so a window that half of all documents hold costs one entry per task; its
+later copies are known to go and are sent to their documents' buckets, not to the
+window's. Answers are packed by document bucket, and a document gets one row of them.
 
 Equality is that of 64-bit hashes. Windows are judged on the input alone.
 
@@ -24,13 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, TEXT, WordHashes, keyed, map_arrow, rolling, slices, text_bytes
+from tocsin.llm.common import ID, KEYS, MARK, TEXT, WordHashes, keyed, map_arrow, mixed, rolling, slices, text_bytes
 from tocsin.llm.repeated import Filter, bucket_of, buckets_for, repeated
 
 GRAM, RATE = 8, 4
-#: Windows held in a task, and counted in a bucket.
-HELD, EACH = 500_000, 500_000
-SENT = "bucket int, ids binary, marks binary, counts binary, hashes binary, starts binary"
+#: Windows held in a task and counted in a bucket, and words in a bucket of documents.
+HELD, EACH, WORDS = 500_000, 500_000, 2_000_000
+PACKED = ["ids", "marks", "counts", "starts"]
+#: ``bucket`` is that of the window's hash; or, from -1 downwards, that of the document.
+SENT = "bucket int, hashes binary, ids binary, marks binary, counts binary, starts binary"
+TOLD = "part int, ids binary, marks binary, counts binary, starts binary"
 
 
 def _words(texts: list[bytes], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +65,41 @@ def _unplaned(x: bytes) -> np.ndarray:
     return np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
+def _part(ids: np.ndarray, marks: np.ndarray, parts: int) -> np.ndarray:
+    """The bucket of a document."""
+    return bucket_of(mixed(ids.view(np.uint64) ^ marks.astype(np.uint64) << np.uint64(32)), parts).astype(np.int64)
+
+
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Starts of runs of equal keys."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.nonzero(new)[0]
+
+
+def _pack(ids: np.ndarray, marks: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
+    """Places, documents one behind the other, as one row of ``PACKED``."""
+    heads = _runs(ids, marks)
+    values = [ids[heads].tobytes(), marks[heads].astype("<i4").tobytes(), np.diff(np.append(heads, len(ids))).astype("<u4").tobytes(), _planes(starts)]
+    return [pa.array([v], pa.binary()) for v in values]
+
+
+def _unpack(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, marks and starts of all rows."""
+    ids, marks, starts = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.uint32)]
+    for row in rows:
+        counts = np.frombuffer(row["counts"], "<u4")
+        ids.append(np.repeat(np.frombuffer(row["ids"], np.int64), counts))
+        marks.append(np.repeat(np.frombuffer(row["marks"], "<i4"), counts))
+        starts.append(_unplaned(row["starts"]))
+    return np.concatenate(ids), np.concatenate(marks), np.concatenate(starts)
+
+
 class _Chunk:
     """Documents of one task, held until their windows are sent."""
 
-    def __init__(self, width: int, gram: int, buckets: int, shared: Filter):
-        self.width, self.gram, self.buckets, self.shared = width, gram, buckets, shared
+    def __init__(self, width: int, gram: int, buckets: int, parts: int, shared: Filter):
+        self.width, self.gram, self.buckets, self.of_parts, self.shared = width, gram, buckets, parts, shared
         self.cache = WordHashes()
         self.clear()
 
@@ -97,74 +132,69 @@ class _Chunk:
         h, ids, marks, starts = h[order], ids[order], marks[order], starts[order]
         first = np.zeros(len(h), bool)
         first[np.unique(h, return_index=True)[1]] = True
-        bucket = bucket_of(h, self.buckets).astype(np.int64)
         # A later copy in this task goes whatever the others hold. A repeated row isn't later.
         same = np.zeros(len(h), bool)
         same[1:] = (ids[1:] == ids[:-1]) & (marks[1:] == marks[:-1]) & (starts[1:] == starts[:-1])
+        buckets = (bucket_of(h, self.buckets).astype(np.int64), -1 - _part(ids, marks, self.of_parts))
         for known, chosen in ((False, first), (True, ~first & ~same)):
             at = np.nonzero(chosen)[0]
-            if not known:
-                at = at[np.argsort(bucket[at], kind="stable")]
-                cuts = np.nonzero(np.diff(bucket[at]))[0] + 1
-            else:
-                cuts = np.arange(200_000, len(at), 200_000)
-            for n, part in enumerate(np.split(at, cuts) if len(at) else []):
-                new = np.ones(len(part), bool)
-                new[1:] = (ids[part][1:] != ids[part][:-1]) | (marks[part][1:] != marks[part][:-1])
-                heads = np.nonzero(new)[0]
-                row = [
-                    pa.array([n % self.buckets if known else bucket[part[0]]], pa.int32()),
-                    pa.array([ids[part][heads].tobytes()], pa.binary()),
-                    pa.array([marks[part][heads].astype("<i4").tobytes()], pa.binary()),
-                    pa.array([np.diff(np.append(heads, len(part))).astype("<u4").tobytes()], pa.binary()),
-                    pa.array([None if known else h[part].tobytes()], pa.binary()),
-                    pa.array([_planes(starts[part])], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(row, ["bucket", "ids", "marks", "counts", "hashes", "starts"])
+            if not len(at):
+                continue
+            bucket = buckets[known]
+            at = at[np.argsort(bucket[at], kind="stable")]
+            for group in np.split(at, _runs(bucket[at])[1:]):
+                head = [pa.array([bucket[group[0]]], pa.int32()), pa.array([None if known else h[group].tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*head, *_pack(ids[group], marks[group], starts[group])], ["bucket", "hashes", *PACKED])
         self.clear()
 
 
-def _later(table: pa.Table) -> pa.Table:
-    """Of the windows of a bucket, all that occur earlier elsewhere, by document."""
-    ids, marks, starts, hashes, known = [], [], [], [], []
-    for row in table.to_pylist():
-        counts = np.frombuffer(row["counts"], "<u4")
-        ids.append(np.repeat(np.frombuffer(row["ids"], np.int64), counts))
-        marks.append(np.repeat(np.frombuffer(row["marks"], "<i4"), counts))
-        starts.append(_unplaned(row["starts"]))
-        known.append(np.full(len(starts[-1]), row["hashes"] is None))
-        hashes.append(np.zeros(len(starts[-1]), np.uint64) if row["hashes"] is None else np.frombuffer(row["hashes"], np.uint64))
-    i, m, s, h, gone = (np.concatenate(x) for x in (ids, marks, starts, hashes, known))
-    del ids, marks, starts, hashes
-    order = np.argsort(h, kind="stable")
-    sorted_h = h[order]
-    twin = np.zeros(len(h), bool)
-    twin[1:] = sorted_h[1:] == sorted_h[:-1]
-    twin[:-1] |= twin[1:]
-    order = order[twin & ~gone[order]]
-    order = order[np.lexsort((s[order], m[order], i[order], h[order]))]
-    if len(order):
-        head = np.append(True, h[order][1:] != h[order][:-1])
-        lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-        equal = (i[order] == i[lead]) & (m[order] == m[lead]) & (s[order] == s[lead])
-        gone[order[~equal]] = True
-    at = np.nonzero(gone)[0]
-    at = at[np.lexsort((s[at], m[at], i[at]))]
-    cut = np.nonzero((i[at][1:] != i[at][:-1]) | (m[at][1:] != m[at][:-1]))[0] + 1
-    groups = np.split(at, cut) if len(at) else []
-    return pa.table(
-        {
-            ID: pa.array([i[g[0]] for g in groups], pa.int64()),
-            MARK: pa.array([m[g[0]] for g in groups], pa.int32()),
-            "starts": pa.array([s[g].astype("<u4").tobytes() for g in groups], pa.binary()),
-        }
-    )
-
-
-def _covered(n: int, width: int, starts: list[bytes] | None) -> np.ndarray:
+def _later(table: pa.Table, parts: int) -> pa.Table:
+    """Of the windows of a bucket, all that occur earlier elsewhere, packed by document
+    bucket. What is sent to a document bucket is known to go."""
+    rows = table.to_pylist()
+    i, m, s = _unpack(rows)
+    if rows[0]["bucket"] < 0:
+        at = np.arange(len(i))
+    else:
+        h = np.concatenate([np.frombuffer(row["hashes"], np.uint64) for row in rows])
+        order = np.argsort(h, kind="stable")
+        sorted_h = h[order]
+        twin = np.zeros(len(h), bool)
+        twin[1:] = sorted_h[1:] == sorted_h[:-1]
+        twin[:-1] |= twin[1:]
+        order = order[twin]
+        order = order[np.lexsort((s[order], m[order], i[order], h[order]))]
+        at = order
+        if len(order):
+            head = np.append(True, h[order][1:] != h[order][:-1])
+            lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+            equal = (i[order] == i[lead]) & (m[order] == m[lead]) & (s[order] == s[lead])
+            at = order[~equal]
+    del rows
+    part = _part(i[at], m[at], parts)
+    order = np.lexsort((s[at], m[at], i[at], part))
+    at, part = at[order], part[order]
+    groups = np.split(at, _runs(part)[1:]) if len(at) else []
+    packed = [_pack(i[g], m[g], s[g]) for g in groups]
+    columns = [pa.chunked_array([p[k] for p in packed], pa.binary()) for k in range(len(PACKED))]
+    heads = pa.array([int(p) for p in part[_runs(part)]] if len(at) else [], pa.int32())
+    return pa.table([heads, *columns], ["part", *PACKED])
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """All answers for the documents of a bucket, a row each."""
+    i, m, s = _unpack(table.to_pylist())
+    order = np.lexsort((s, m, i))
+    i, m, s = i[order], m[order], s[order]
+    heads = _runs(i, m)
+    starts = [g.astype("<u4").tobytes() for g in np.split(s, heads[1:])]
+    return pa.table({ID: pa.array(i[heads], pa.int64()), MARK: pa.array(m[heads], pa.int32()), "starts": pa.array(starts, pa.binary())})
+
+
+def _covered(n: int, width: int, starts: bytes | None) -> np.ndarray:
     step = np.zeros(n + 1, np.int64)
     if starts:
-        at = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in starts])).astype(np.int64)
+        at = np.unique(np.frombuffer(starts, "<u4")).astype(np.int64)
         step[at] += 1
         np.subtract.at(step, at + width, 1)
     return np.cumsum(step)[:n] > 0
@@ -184,10 +214,10 @@ def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", tex
         return found[_inside(sizes, gram) & _sampled(found)] if len(found) else found
 
     shared = spark.sparkContext.broadcast(repeated(rows, grams, buckets_for(words / RATE), 1 << 30)[0])
-    buckets = buckets_for(words / RATE, EACH)
+    buckets, parts = buckets_for(words / RATE, EACH), buckets_for(words, WORDS)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _Chunk(width, gram, buckets, shared.value)
+        chunk = _Chunk(width, gram, buckets, parts, shared.value)
         for batch in batches:
             for part in slices(batch):
                 chunk.add(part)
@@ -195,11 +225,11 @@ def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", tex
                     yield from chunk.send()
         yield from chunk.send()
 
-    later = map_arrow(rows, windows, SENT).groupBy("bucket").applyInArrow(_later, f"{ID} long, {MARK} int, starts binary")
-    told = later.groupBy(*KEYS).agg(F.collect_list("starts").alias("starts"))
+    later = map_arrow(rows, windows, SENT).groupBy("bucket").applyInArrow(lambda table: _later(table, parts), TOLD)
+    told = later.groupBy("part").applyInArrow(_gathered, f"{ID} long, {MARK} int, starts binary")
 
-    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (cut for whole in parts for cut in slices(whole)):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (some for whole in batches for some in slices(whole)):
             total, removed, spans, kept = [], [], [], []
             for text, starts in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                 own = text.split()
