@@ -71,3 +71,38 @@ def row_changes(before: DataFrame, after: DataFrame, columns: list[str] | None =
         F.sum("_b").alias("rows_before"), F.sum("_a").alias("rows_after")
     )
     return counted.filter(F.col("rows_before") != F.col("rows_after"))
+
+
+def change_feed(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
+    """``key, change, before, after``: what happened to each key, with its other columns
+    as structs; ``change`` is insert, update or delete.
+
+    Rows equal on both sides are no change. A key with one differing row on each side is
+    an update. Where a key repeats, or is null, rows can't be told apart by it: each row
+    that is gone is a delete and each new one an insert. All is folded by key before it
+    is dealt out; only repeated keys are looked at row by row.
+    """
+    rest = [c for c in before.columns if c not in key]
+    rows = row_changes(before, after)
+    gone = F.greatest(F.col("rows_before") - F.col("rows_after"), F.lit(0))
+    new = F.greatest(F.col("rows_after") - F.col("rows_before"), F.lit(0))
+    rows = rows.select(*key, F.struct(*rest).alias("_row"), gone.alias("_gone"), new.alias("_new"))
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    sides = [F.max(F.when(F.col(n) > 0, F.struct("_row"))).alias(c) for n, c in (("_gone", "before"), ("_new", "after"))]
+    folded = rows.filter(whole).groupBy(*key).agg(F.sum("_gone").alias("_gone"), F.sum("_new").alias("_new"), *sides)
+    single = folded.filter("_gone <= 1 AND _new <= 1")
+    change = F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete").otherwise("update")
+    paired = single.select(*key, change.alias("change"), F.col("before._row").alias("before"), F.col("after._row").alias("after"))
+    repeated = folded.filter("_gone > 1 OR _new > 1").select(*key)
+    apart = rows.join(repeated, key, "left_semi").unionByName(rows.filter(~whole))
+    none = F.lit(None).cast(rows.schema["_row"].dataType)
+    sides = F.array(
+        F.struct(F.lit("delete").alias("change"), F.col("_row").alias("before"), none.alias("after"), F.col("_gone").alias("n")),
+        F.struct(F.lit("insert").alias("change"), none.alias("before"), F.col("_row").alias("after"), F.col("_new").alias("n")),
+    )
+    each = apart.select(*key, F.explode(sides).alias("_side")).filter("_side.n > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_side.n")))
+    each = each.select(*key, "_side.change", "_side.before", "_side.after", copies.alias("_copy")).drop("_copy")
+    return paired.unionByName(each)

@@ -620,6 +620,51 @@ def snapshot_update(spark, sf_dir):
     return lake.read().select("incident_id", "incident_type", "zone", "severity")
 
 
+_WEEK = ("2024-01-08 00:00:00", "2024-01-14 23:59:59")
+
+
+@query(
+    "snapshot_update_range",
+    f"""WITH {INCIDENTS_SQL}
+    SELECT incident_id, incident_type, zone,
+           CASE WHEN "timestamp" BETWEEN TIMESTAMP '{_WEEK[0]}' AND TIMESTAMP '{_WEEK[1]}' THEN {_LOWERED} ELSE severity END AS severity
+    FROM incidents""",
+)
+def snapshot_update_range(spark, sf_dir):
+    """A table split by time; the rules of ``snapshot_update`` for the rows of one week."""
+    lake = SnapshotTable(spark, new_path(spark, "lake"), split_by="timestamp", pieces=16)
+    df = standin.incidents(spark, sf_dir)
+    lake.append(_old(df))
+    lake.append(_new(df))
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in _WEEK)
+    lake.update(*_LOWER_RULES, between=(low, high))
+    return lake.read().select("incident_id", "incident_type", "zone", "severity")
+
+
+@query(
+    "snapshot_change_feed",
+    f"""WITH {INCIDENTS_SQL},
+    old AS (SELECT alert_key, zone, severity, response_time FROM incidents WHERE incident_type IN ('click', 'view') {_LAST}),
+    new AS (SELECT alert_key, zone, severity, response_time FROM incidents WHERE incident_type NOT IN ('click', 'view') {_LAST})
+    SELECT alert_key, CASE WHEN o.alert_key IS NULL THEN 'insert' WHEN n.alert_key IS NULL THEN 'delete' ELSE 'update' END AS change,
+           o.zone AS zone_before, o.severity AS severity_before, o.response_time AS response_before,
+           n.zone AS zone_after, n.severity AS severity_after, n.response_time AS response_after
+    FROM old o FULL JOIN new n USING (alert_key)
+    WHERE o.alert_key IS NULL OR n.alert_key IS NULL OR o.zone IS DISTINCT FROM n.zone
+          OR o.severity IS DISTINCT FROM n.severity OR o.response_time IS DISTINCT FROM n.response_time""",
+)
+def snapshot_change_feed(spark, sf_dir):
+    """The last state of each key in the old half, then in the new half, as two versions."""
+    df = standin.to_incidents(standin.table(spark, sf_dir, "events"))
+    lake = _lake(spark)
+    for half in (_old(df), _new(df)):
+        last = tables.latest_per_key(half.select("alert_key", "timestamp", "zone", "severity", "response_time"), ["alert_key"], ["timestamp"])
+        lake.overwrite(last.drop("timestamp"))
+    feed = lake.change_feed(0, 1, ["alert_key"])
+    sides = [F.col(f"{side}.{c}").alias(f"{n}_{side}") for side in ("before", "after") for c, n in (("zone", "zone"), ("severity", "severity"), ("response_time", "response"))]
+    return feed.select("alert_key", "change", *sides)
+
+
 @query(
     "snapshot_as_of",
     f"""WITH {INCIDENTS_SQL} SELECT incident_id, incident_type, zone, severity FROM incidents""",
