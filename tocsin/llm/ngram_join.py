@@ -15,12 +15,14 @@ at least ``need = ceil(t n)`` shingles, so that they share one of the first
 Shingles that no other set has are known from a filter (see ``repeated``): a set with
 more than ``n - need`` of them links with nothing and posts nothing, and two sets whose
 other shingles are too few are no candidates. Equal sets are
-one class, found by the set's hash. A list isn't expanded into pairs: in each round
-its members are compared with a few hubs, links are folded into components, and only
-members of different components go on. When hubs no longer help, all pairs of different
-components that are left are compared, so no link that joins components is lost. Before
-two sets are brought together, a sketch of the parities of their hashes gives a lower
-bound on their difference, which rules out most pairs that don't link.
+one class, found by the set's hash, and lists of equal members are one list. A list
+isn't expanded into pairs: in each round every set is compared with at most ``HUBS``
+others of its lists, the first in an order over all sets, so that a group meets around
+the same few; links are folded into components, and only lists of several components go
+on. When that no longer helps, the pairs of different components that are left are
+compared, so no link that joins components is lost. There, and before two sets are
+brought together, a sketch of the parities of their hashes gives a lower bound on their
+difference, which rules out most pairs that don't link, inside the join.
 
 Shingles and sets are told apart by 64-bit hashes.
 
@@ -46,7 +48,11 @@ from tocsin.llm.repeated import buckets_for, repeated
 
 #: A shingle of so many sets comes last in the order; one task tells of so many at most.
 FREQUENT, COPIES = 12, 4
-HUBS, ROUNDS = 4, 8
+#: Entries of a list that a posting meets, at most, in the cost of a size.
+LIST = 4
+HUBS, ROUNDS = 2, 10
+#: Rounds go on while they leave less than this share of the pairs.
+GAIN = 0.8
 #: Bits of the parity sketch that bounds how much two sets differ.
 BITS = 512
 
@@ -103,7 +109,7 @@ def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_c
 
     shingles = text_bytes(docs, text_col) / 6
     twice, often, met = repeated(rows, every, buckets_for(shingles), FREQUENT, COPIES, 64 << 20)
-    light = boundary(min(met, HUBS), threshold)
+    light = boundary(min(met, LIST), threshold)
     shared = docs.sparkSession.sparkContext.broadcast((twice, often))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,14 +154,20 @@ def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_c
     return map_arrow(rows, make, f"{ID} long, {MARK} int, n long, rest long, sig long, keys array<long>, shared binary, odd array<long>")
 
 
+def _near(threshold: float, odd: Column, other_odd: Column, n: Column, other_n: Column) -> Column:
+    """Whether the sketches leave room for a link."""
+    per = round(100 * threshold)
+    apart = sum((F.bit_count(F.get(odd, k).bitwiseXOR(F.get(other_odd, k))) for k in range(1, BITS // 64)), F.bit_count(F.get(odd, 0).bitwiseXOR(F.get(other_odd, 0))))
+    # 100 * same >= per * union, and same = (na + nb - difference) / 2
+    return (100 + per) * (n + other_n - apart) >= 2 * per * (n + other_n)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold. One set of a pair travels."""
     per = round(100 * threshold)
     sketch = sets.select("sig", "n", "odd")
     near = pairs.join(sketch.toDF("a", "na", "odda"), "a").join(sketch.toDF("b", "nb", "oddb"), "b")
-    apart = F.aggregate(F.zip_with("odda", "oddb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    # 100 * same >= per * union, and same = (na + nb - difference) / 2
-    near = near.filter((100 + per) * (F.col("na") + F.col("nb") - apart) >= 2 * per * (F.col("na") + F.col("nb")))
+    near = near.filter(_near(threshold, *[F.col(c) for c in ("odda", "oddb", "na", "nb")]))
     whole = sets.select("sig", "shared")
     both = near.select("a", "b", "na", "nb").join(whole.toDF("b", "setb"), "b").join(whole.toDF("a", "seta"), "a")
 
@@ -201,6 +213,39 @@ def _open(lists: DataFrame, classes: DataFrame) -> tuple[DataFrame, float]:
     return left, float(sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()[0] or 0)
 
 
+def _folded(posted: DataFrame) -> DataFrame:
+    """The lists of two or more sets, one of those with equal members."""
+    members = [F.bit_xor(F.xxhash64("sig", F.lit(k))).alias(f"x{k}") for k in range(2)]
+    known = posted.groupBy("key").agg(F.count("*").alias("m"), *members).filter("m > 1")
+    return posted.join(known.groupBy("m", "x0", "x1").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def _met(lists: DataFrame, threshold: float, turn: int) -> DataFrame:
+    """Pairs ``a, b`` of each set with the first of another group, in ``HUBS`` orders over
+    all sets, among the firsts of its lists."""
+    orders = [F.xxhash64("sig", F.lit(turn * HUBS + i)).alias("o") for i in range(HUBS)]
+    firsts = [F.min(F.struct(o, "sig", "n", "rest", "group")).alias(f"h{i}") for i, o in enumerate(orders)]
+    joined = lists.join(lists.groupBy("key").agg(*firsts), "key")
+    chosen = []
+    for i in range(HUBS):
+        hub = [F.col(f"h{i}.{c}") for c in ("o", "sig", "n", "rest", "group")]
+        fits = (hub[4] != F.col("group")) & _fits(threshold, F.col("n"), F.col("rest"), hub[2], hub[3])
+        chosen.append(F.min(F.when(fits, F.struct(hub[0].alias("o"), hub[1].alias("t")))).alias(f"c{i}"))
+    met = joined.groupBy("sig").agg(*chosen)
+    met = met.select("sig", F.explode(F.array_compact(F.array(*[F.col(f"c{i}.t") for i in range(HUBS)]))).alias("t"))
+    return met.select(F.greatest("sig", "t").alias("a"), F.least("sig", "t").alias("b")).distinct()
+
+
+def _left(lists: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different groups in the lists whose sizes and sketches leave room for a link."""
+    full = lists.join(sets.select("sig", "odd"), "sig")
+    one = full.select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("rest").alias("sr"), F.col("group").alias("sg"), F.col("odd").alias("so"))
+    other = one.toDF("key", "t", "tn", "tr", "tg", "to")
+    room = _fits(threshold, *[F.col(c) for c in ("sn", "sr", "tn", "tr")]) & _near(threshold, *[F.col(c) for c in ("so", "to", "sn", "tn")])
+    met = one.join(other, "key").filter((F.col("s") < F.col("t")) & (F.col("sg") != F.col("tg")) & room)
+    return met.select(F.col("t").alias("a"), F.col("s").alias("b")).distinct()
+
+
 def _grouped(sets: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
     """``sig, group``: components of the classes that occur in lists of two or more."""
     classes = stored(lists.groupBy("sig").agg(F.col("sig").alias("group")), "groups")
@@ -209,21 +254,9 @@ def _grouped(sets: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
         lists, left = _open(lists.select("key", "sig", "n", "rest"), classes)
         if not left:
             break
-        last = turn == ROUNDS or left > 0.7 * before
+        last = turn == ROUNDS or left > GAIN * before
         before = left
-        one = lists.select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("rest").alias("sr"), F.col("group").alias("sg"))
-        if last:
-            other = lists.select("key", F.col("sig").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("tr"), F.col("group").alias("tg"))
-            met = one.join(other, "key").filter("s < t")
-        else:
-            hub = [
-                F.min(F.struct(F.xxhash64("sig", F.lit(turn * HUBS + i)).alias("o"), F.col("sig").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("tr"), F.col("group").alias("tg")))
-                for i in range(HUBS)
-            ]
-            hubs = lists.groupBy("key").agg(F.array_distinct(F.transform(F.array(*hub), lambda h: h.dropFields("o"))).alias("hubs"))
-            met = one.join(hubs.select("key", F.explode("hubs").alias("hub")).select("key", "hub.t", "hub.tn", "hub.tr", "hub.tg"), "key")
-        met = met.filter("s != t AND sg != tg").filter(_fits(threshold, *[F.col(c) for c in ("sn", "sr", "tn", "tr")]))
-        pairs = met.select(F.greatest("s", "t").alias("a"), F.least("s", "t").alias("b")).distinct()
+        pairs = _left(lists, sets, threshold) if last else _met(lists, threshold, turn)
         classes = _merged(classes, stored(_linked(pairs, sets, threshold), "linked"))
         if last:
             break
@@ -241,8 +274,7 @@ def link_groups(
     sets = rows.filter(F.col("keys").isNotNull()).groupBy("sig").agg(F.first("n").cast("int").alias("n"), F.first("rest").cast("int").alias("rest"), F.first("keys").alias("keys"), F.first("shared").alias("shared"), F.first("odd").alias("odd"))
     sets = stored(sets, "sets")
     posted = sets.select(F.explode("keys").alias("key"), "sig", "n", "rest").distinct()
-    lists = posted.join(posted.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key"), "key")
-    groups = _grouped(sets.select("sig", "n", "shared", "odd"), stored(lists, "lists"), threshold)
+    groups = _grouped(sets.select("sig", "n", "shared", "odd"), stored(_folded(posted), "lists"), threshold)
     own = F.when(F.col(ID) != NO_ID, F.col(ID))
     classes = rows.filter("n > 0").groupBy("sig").agg(F.min(own).alias("least"))
     classes = classes.join(groups, "sig", "left").select("sig", "least", F.coalesce("group", "sig").alias("group"))
