@@ -63,6 +63,7 @@ def hot_rows():
 def test_many_slices_and_several_tries(spark, monkeypatch, small):
     if small:  # a slice for every few texts, a trie for every few phrases
         monkeypatch.setattr(phrase_mining, "SLICE", 500)
+        monkeypatch.setattr(phrase_mining, "SUMMED", 7)
         plain = phrase_mining.counted
         monkeypatch.setattr(phrase_mining, "counted", lambda ids, c: plain(ids, c, trie_size=40))
     rows = hot_rows()

@@ -45,6 +45,8 @@ PLAIN = bytes.maketrans(BREAKS + b"\t" + UPPER, b"\n" * len(BREAKS) + b" " + LOW
 SLICE, HELD = 4 << 20, 12 << 20
 #: Phrases of one trie, about.
 TRIE = 1_000_000
+#: Phrases whose counts travel and are summed together.
+SUMMED = 20_000
 
 
 def numbered(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -203,15 +205,31 @@ def counted(ids: DataFrame, found: DataFrame, trie_size: int = TRIE) -> DataFram
         shared = context.broadcast(trie)
 
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            """What a task has counted: a row for each ``SUMMED`` phrases, in the trie's order."""
             trie = shared.value
             counts = np.zeros(len(trie.base), np.int64)
             for numbers in _numbers(batches):
                 trie.count(numbers, counts)
             cells = np.flatnonzero((counts > 0) & (trie.phrase >= 0))
-            rows = trie.words[trie.phrase[cells]]
-            yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(c)) for c in rows.T], pa.array(counts[cells])], [*columns, "f"])
-
-        sums = stored(ids.mapInArrow(count, shape).groupBy(*columns).agg(F.sum("f").alias("f")), "counts")
+            cells = cells[np.argsort(trie.phrase[cells])]
+            rows = trie.phrase[cells]
+            chunks, starts = np.unique(rows // SUMMED, return_index=True)
+            for chunk, some in zip(chunks, np.split(np.arange(len(rows)), starts[1:]), strict=False):
+                packed = [pa.array([rows[some].tobytes()], pa.binary()), pa.array([counts[cells[some]].tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *packed], ["chunk", "rows", "counts"])
+
+        def add(table: pa.Table) -> pa.Table:
+            words = shared.value.words
+            chunk = table.column("chunk")[0].as_py()
+            sums = np.zeros(SUMMED, np.int64)
+            for rows, counts in zip(table.column("rows"), table.column("counts"), strict=True):
+                sums[np.frombuffer(rows.as_buffer(), np.int32) - chunk * SUMMED] += np.frombuffer(counts.as_buffer(), np.int64)
+            at = np.flatnonzero(sums)
+            found = words[at + chunk * SUMMED]
+            return pa.table([*[pa.array(np.ascontiguousarray(c)) for c in found.T], pa.array(sums[at])], [*columns, "f"])
+
+        shards = ids.mapInArrow(count, "chunk int, rows binary, counts binary")
+        sums = stored(shards.groupBy("chunk").applyInArrow(add, shape), "counts")
         shared.unpersist()
         out = out.unionByName(sums)
     return out
