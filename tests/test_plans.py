@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_DIR
-from tocsin.operators import clean, quality, ranking, reports, star
+from tocsin.operators import clean, layout, quality, ranking, reports, star
 from tocsin.operators.snapshots import SnapshotTable
 from tocsin.sources import standin
 
@@ -129,3 +129,22 @@ def test_hot_unit_is_split_in_the_shuffled_lookup(spark):
         for key in small:
             spark.conf.unset(key)
     assert "SortMergeJoin(skew=true)" in final
+
+
+def test_cached_frame_is_read_from_memory(spark, large):
+    with layout.cached(reports.critical_only(large)) as critical:
+        critical.count()
+        found = reports.global_average(critical)
+        assert "InMemoryTableScan" in plan(found) and found.first()["total"] == critical.count()
+    assert not critical.is_cached
+    assert "InMemoryTableScan" not in plan(reports.global_average(reports.critical_only(large)))
+
+
+def test_quality_report_scans_three_times(spark, lineitem):
+    rules = quality.Rules(required=["l_orderkey", "l_quantity"], key=["l_orderkey"], value="l_quantity")
+    found = quality.report(lineitem, rules)
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    whole = re.sub(r"Reused\w+ .*", "", final)
+    scans = set(re.findall(r"FileScan parquet \[[^\]]*\]", whole))
+    assert len(re.findall(r"FileScan parquet", whole)) <= 3 + whole.count("ReusedSubquery") and len(scans) <= 3

@@ -1,0 +1,198 @@
+"""Settled windows, late rows, sketches, the cube, the joint run and schema fit."""
+
+import os
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import rows_of
+from test_streaming import START, alert, decoded_stream, publish
+from tocsin.operators import quality, reports, sketches, tables
+from tocsin.operators.snapshots import SchemaMismatch, SnapshotTable
+from tocsin.streaming import alerts, run, settled
+
+KEYS = ["window_start", "window_end", "zone"]
+
+
+@pytest.fixture
+def places(path):
+    return path("topic"), path("out"), path("checkpoint")
+
+
+def counted(spark, places, *batches, rocksdb=True):
+    """Run the zone counts over each batch of messages, settling after each."""
+    topic, out, checkpoint = places
+    for bodies in batches:
+        publish(spark, topic, bodies)
+        frame = alerts.zone_counts(decoded_stream(spark, topic))
+        with settled.rocksdb_state(spark):
+            run.start(frame, out, checkpoint, "update").awaitTermination()
+        yield settled.SettledWindows(spark, out, frame.schema, KEYS)
+
+
+def test_settled_windows_equal_all_batches(spark, places, monkeypatch):
+    monkeypatch.setattr(settled.SettledWindows, "_delete", lambda self, folder: None)
+    batches = [[alert(10 * b + i, 40 * b + 9 * i, zone="NS"[i % 2]) for i in range(6)] for b in range(5)]
+    for windows in counted(spark, places, *batches):
+        before = rows_of(windows.read())
+        windows.settle()
+        assert rows_of(windows.read()) == before
+        assert before == rows_of(run.latest(spark, places[1], windows.schema, KEYS))
+    closed = windows.closed().count()
+    assert 0 < closed < windows.read().count()
+    assert windows.settle(ended=True) == windows._last()["through"] and rows_of(windows.read()) == before
+
+
+def test_what_is_read_does_not_grow_with_the_batches(spark, places):
+    open_files, batch_folders = [], []
+    for windows in counted(spark, places, *[[alert(b, 200 * b), alert(100 + b, 200 * b + 1, zone="S")] for b in range(6)]):
+        windows.settle()
+        last = windows._last()
+        open_files.append(len(windows._open(last).inputFiles()))
+        batch_folders.append(sum(name.startswith("batch_id") for name in os.listdir(places[1].removeprefix("file://"))))
+    assert max(open_files) <= open_files[1] + 1 and max(batch_folders) <= 2
+    assert windows.read().count() == 12
+
+
+def test_late_arrivals_do_not_change_closed_windows(spark, places):
+    first = [alert(1, 0), alert(2, 600)]
+    late = [alert(3, 1), alert(4, 590), alert(5, 601)]
+    for windows in counted(spark, places, first, late, [alert(6, 1200)]):
+        windows.settle()
+    counts = {r["window_start"]: r["incident_count"] for r in windows.read().collect()}
+    assert counts[START] == 1 and counts[START + timedelta(seconds=600)] == 2 and counts[START + timedelta(seconds=570)] == 1
+
+
+def test_nothing_to_settle(spark, places):
+    frame = alerts.zone_counts(decoded_stream_schema(spark, places[0]))
+    windows = settled.SettledWindows(spark, places[1], frame.schema, KEYS)
+    assert windows.settle() == -1 and windows.read().count() == windows.closed().count() == 0
+
+
+def decoded_stream_schema(spark, topic):
+    publish(spark, topic, [])
+    return decoded_stream(spark, topic)
+
+
+def test_late_rows_are_those_the_counts_drop(spark, places, path):
+    topic, out, checkpoint = places
+    side = path("late")
+    first = [alert(1, 0), alert(2, 600)]
+    second = [alert(3, 1), alert(4, 509), alert(5, 511), alert(6, 540), alert(7, 2000), '{"incident_id": "timeless"}']
+    third = [alert(8, 1900), alert(9, 1941)]
+    for bodies in (first, second, third):
+        publish(spark, topic, bodies)
+        run.start(alerts.zone_counts(decoded_stream(spark, topic)), out, checkpoint, "update").awaitTermination()
+        settled.start_late(decoded_stream(spark, topic), side, f"{checkpoint}-late").awaitTermination()
+    late = settled.late_rows(spark, side, decoded_stream(spark, topic).schema)
+    assert rows_of(late, "incident_id") == [("i3",), ("i4",), ("i5",), ("i8",)]
+    assert {r["watermark"] for r in late.filter("incident_id = 'i8'").collect()} == {START + timedelta(seconds=1940)}
+    counted = run.latest(spark, out, alerts.zone_counts(decoded_stream(spark, topic)).schema, KEYS)
+    assert counted.agg(F.sum("incident_count")).first()[0] == 9 - 4
+
+
+def test_rocksdb_setting_is_put_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    with settled.rocksdb_state(spark):
+        assert "RocksDB" in spark.conf.get(name)
+    assert spark.conf.get(name, None) == before
+
+
+def test_joint_run_tells_rows_and_dropped_rows(spark, places):
+    topic, out, checkpoint = places
+    publish(spark, topic, [alert(1, 600), alert(2, 601, severity="low", response=9000.0)])
+    rows = run.run_all(decoded_stream(spark, topic), out, checkpoint, run.AVAILABLE_NOW)
+    assert rows_of(rows, "name", "input_rows", "dropped_rows") == [("anomaly_detector", 2, 0), ("severity_breakdown", 2, 0), ("zone_activity", 2, 0)]
+    publish(spark, topic, [alert(3, 0), alert(4, 1200)])
+    rows = run.run_all(decoded_stream(spark, topic), out, checkpoint, run.AVAILABLE_NOW)
+    dropped = {r["name"]: r["dropped_rows"] for r in rows.collect()}
+    assert dropped["anomaly_detector"] == 0 and dropped["zone_activity"] == dropped["severity_breakdown"] == 1
+
+
+def test_joint_run_ends_with_the_first_failure(spark, places, monkeypatch):
+    topic, out, checkpoint = places
+    publish(spark, topic, [alert(1, 0)])
+    broken = lambda df: df.withColumn("x", F.raise_error(F.lit("lost")))
+    monkeypatch.setattr(reports, "anomalies", broken)
+    with pytest.raises(Exception, match="lost"):
+        run.run_all(decoded_stream(spark, topic), out, checkpoint, "1 second", seconds=60)
+    assert not spark.streams.active
+
+
+def test_sketches_merge_without_counting_twice(spark):
+    rows = [("N", START + timedelta(seconds=20 * i), f"u{i % 300}" if i % 50 else None) for i in range(1500)] + [("N", None, "u")]
+    df = spark.createDataFrame(rows, "zone string, at timestamp, user string").repartition(3)
+    small = sketches.variety(df, "user", "at", "30 seconds", ["zone"])
+    whole = sketches.estimated(sketches.merged(small, None, []), "users").first()
+    exact = len({u for _, t, u in rows if u and t})
+    assert whole["rows"] == 1500 and abs(whole["users"] - exact) <= 0.03 * exact
+    hourly = {r["span_start"]: r["users"] for r in sketches.estimated(sketches.merged(small, "1 hour", ["zone"]), "users").collect()}
+    plain = {}
+    for _, t, u in rows:
+        if t and u:
+            plain.setdefault(t.replace(minute=0, second=0), set()).add(u)
+    assert {t: len(u) for t, u in plain.items()} == hourly
+    many = spark.range(200_000).select(F.lit(START).alias("at"), F.col("id").cast("string").alias("user"))
+    found = sketches.estimated(sketches.variety(many, "user", "at", "1 hour", []), "users").first()["users"]
+    assert abs(found - 200_000) < 0.05 * 200_000
+
+
+def test_cube_has_a_total(spark, incidents):
+    cube = rows_of(reports.alert_cube(incidents))
+    assert ("all", "all", 8) in cube
+    assert sorted(r for r in cube if r[0] != "all") == rows_of(reports.alert_stats(incidents))
+    assert rows_of(reports.alert_cube(incidents.limit(0))) in ([], [("all", "all", 0)])
+
+
+def test_totals_of_the_intake(spark, places):
+    topic, out, checkpoint = places
+    assert run.alert_total(spark, out).first()["alerts"] == 0
+    publish(spark, topic, [alert(1, 0), alert(2, 0, severity=None)])
+    run.start_ingest(decoded_stream(spark, topic), out, checkpoint).awaitTermination()
+    assert run.alert_total(spark, out).first()["alerts"] == 2
+
+
+def test_measures_taken_while_writing_equal_a_report(spark, incidents, path):
+    rules = quality.Rules(z_limit=1.0, highest=3000)
+    stored, seen = quality.measured_write(incidents, rules, lambda df: _write(df, path()))
+    assert rows_of(quality.report(stored, rules, seen)) == rows_of(quality.report(incidents, rules))
+    empty, none = quality.measured_write(incidents.limit(0), rules, lambda df: _write(df, path()))
+    assert none is None and quality.gate(empty, rules, measured=none)
+
+
+def _write(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def test_schema_fit():
+    table = T.StructType.fromDDL("a int, b float, c string, d bigint, e date, f decimal(20,0), g int")
+    offered = T.StructType.fromDDL("a bigint, b double, c int, d smallint, e timestamp_ntz, f bigint, h string")
+    assert [(n, d) for n, _, _, d in tables.schema_fit(table, offered)] == [
+        ("a", "widen"), ("b", "widen"), ("c", "refuse"), ("d", "cast"), ("e", "widen"), ("f", "cast"), ("g", "absent"), ("h", "add"),
+    ]
+
+
+def test_fitted_rows_and_what_is_refused(spark):
+    df = spark.createDataFrame([(1, "x", 5)], "a bigint, c string, n int")
+    rows, shape, refused = tables.fitted(df, T.StructType.fromDDL("a int, c double"))
+    assert rows.columns == ["a", "c", "n"] and refused == ["c"]
+    assert rows.first()[:] == (1, None, 5) and shape["a"].dataType == T.LongType() and shape["c"].dataType == T.DoubleType()
+
+
+def test_versioned_append_widens_types(spark, path):
+    table = SnapshotTable(spark, path())
+    table.append(spark.createDataFrame([(1, 0.5, 2)], "k int, v float, n smallint"))
+    with pytest.raises(SchemaMismatch):
+        table.append(spark.createDataFrame([(2**40, 1.1)], "k bigint, v double"))
+    table.append(spark.createDataFrame([(2**40, 1.1, "x")], "k bigint, v double, w string"), evolve=True)
+    assert rows_of(table.read()) == [(1, 0.5, 2, None), (2**40, 1.1, None, "x")]
+    assert dict(table.read().dtypes) == {"k": "bigint", "v": "double", "n": "smallint", "w": "string"}
+    assert dict(table.read(0).dtypes) == {"k": "int", "v": "float", "n": "smallint"}
+    with pytest.raises(SchemaMismatch, match="w is string"):
+        table.append(spark.createDataFrame([(1, 1.5)], "k int, w double"), evolve=True)
+    table.append(spark.createDataFrame([(3,)], "k tinyint"), evolve=True)
+    assert table.read().filter("k = 3").count() == 1

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tocsin.operators.clean import known, z_score
+from tocsin.operators.clean import known
 
 
 class QualityError(ValueError):
@@ -44,34 +45,45 @@ def duplicate_count(df: DataFrame, key: list[str]) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"))
 
 
-def report(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def measures(df: DataFrame, rules: Rules = Rules()) -> dict[str, Column]:
+    """What one pass over the rows tells: nulls, range breaks, and count, mean and
+    deviation of the value. Aggregates that tasks fold, so they can be taken on the way
+    to a write (``DataFrame.observe``)."""
+    out = {"rows": F.count(F.lit(1))}
+    for i, c in enumerate(rules.required):
+        if c in df.columns:
+            out[f"nulls_{i}"] = F.count_if(known(df, c).isNull())
+    if rules.value in df.columns:
+        value = known(df, rules.value)
+        out |= {"below": F.count_if(value < rules.lowest), "above": F.count_if(value > rules.highest)}
+        out |= {"mean": F.avg(value), "std": F.stddev_samp(value)}
+    return out
+
+
+def report(df: DataFrame, rules: Rules = Rules(), measured: dict | None = None) -> DataFrame:
     """One row per check: ``check, column_name, bad_rows, passed``.
 
-    Reads the required columns once for nulls and ranges, the value column once
-    for its moments and once against them, and the key once for duplicates.
+    Three scans: the required columns once for nulls, ranges and moments, the value
+    column once against these, and the key once for duplicates. With what ``measures``
+    gave on the way to a write, the first is saved.
     """
-    present = [c for c in rules.required if c in df.columns]
-    measures: dict[tuple[str, str], Column] = {
-        ("column_present", c): F.lit(0 if c in present else 1) for c in rules.required
-    }
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-
-    def in_first_pass(check: str, name: str, expression: Column) -> None:
-        alias = f"m{len(aggregates)}"
-        aggregates.append(expression.alias(alias))
-        measures[(check, name)] = F.col(alias)
-
-    for c in present:
-        in_first_pass("nulls", c, F.count_if(known(df, c).isNull()))
+    aggregates = measures(df, rules)
+    if measured is None:
+        first = df.agg(F.struct(*[a.alias(name) for name, a in aggregates.items()])).scalar()
+        found = {name: first.getField(name) for name in aggregates}
+    else:
+        kinds = {"mean": "double", "std": "double"}
+        found = {name: F.lit(measured[name]).cast(kinds.get(name, "bigint")) for name in aggregates}
+    checks: dict[tuple[str, str], Column] = {("column_present", c): F.lit(0 if c in df.columns else 1) for c in rules.required}
+    checks |= {("nulls", c): found[f"nulls_{i}"] for i, c in enumerate(rules.required) if c in df.columns}
+    outliers = F.lit(None)
     if rules.value in df.columns:
-        value = known(df, rules.value)
-        in_first_pass("below_range", rules.value, F.count_if(value < rules.lowest))
-        in_first_pass("above_range", rules.value, F.count_if(value > rules.highest))
-        far = F.count_if(F.abs(z_score(df, rules.value)) > rules.z_limit)
-        measures[("outliers", rules.value)] = df.agg(far).scalar()
+        checks |= {("below_range", rules.value): found["below"], ("above_range", rules.value): found["above"]}
+        z = F.try_divide(known(df, rules.value) - found["mean"], found["std"])
+        outliers = F.count_if(F.abs(z) > rules.z_limit)
+        checks[("outliers", rules.value)] = F.col("_outliers")
     if all(k in df.columns for k in rules.key):
-        measures[("duplicates", ",".join(rules.key))] = duplicate_count(df, rules.key).scalar()
-
+        checks[("duplicates", ",".join(rules.key))] = duplicate_count(df, rules.key).scalar()
     rows = [
         F.struct(
             F.lit(check).alias("check"),
@@ -79,9 +91,19 @@ def report(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
             bad.cast("bigint").alias("bad_rows"),
             (bad == 0).alias("passed"),
         )
-        for (check, name), bad in measures.items()
+        for (check, name), bad in checks.items()
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return df.agg(outliers.alias("_outliers")).select(F.inline(F.array(*rows)))
+
+
+def measured_write(df: DataFrame, rules: Rules, write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict | None]:
+    """Write ``df`` and take its measures on the way: the stored table and the measures.
+    None if nothing was measured, as of an empty frame; ``report`` then reads."""
+    seen = Observation()
+    stored = write(df.observe(seen, *[a.alias(name) for name, a in measures(df, rules).items()]))
+    if stored.isEmpty():
+        return stored, None
+    return stored, seen.get
 
 
 def verdict(checks: DataFrame) -> DataFrame:
@@ -90,14 +112,15 @@ def verdict(checks: DataFrame) -> DataFrame:
     )
 
 
-def gate(df: DataFrame, rules: Rules = Rules(), on_fail: str = "raise") -> bool:
+def gate(df: DataFrame, rules: Rules = Rules(), on_fail: str = "raise", measured: dict | None = None) -> bool:
     """Run the checks now. ``on_fail="raise"`` stops the job, ``"report"`` only tells.
 
     Only failed checks reach the driver, a handful of rows whatever the table size.
+    ``measured`` is what ``measures`` gave while ``df`` was written.
     """
     if on_fail not in ("raise", "report"):
         raise ValueError(f"on_fail must be 'raise' or 'report', not {on_fail!r}")
-    failed = report(df, rules).filter(~F.col("passed")).collect()
+    failed = report(df, rules, measured).filter(~F.col("passed")).collect()
     if failed and on_fail == "raise":
         issues = ", ".join(f"{r['check']}({r['column_name']}): {r['bad_rows']}" for r in failed)
         raise QualityError(f"quality checks failed: {issues}")

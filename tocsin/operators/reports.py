@@ -153,6 +153,19 @@ def alert_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def alert_cube(df: DataFrame, dimensions: tuple[str, ...] = ("severity", "zone", "incident_type")) -> DataFrame:
+    """Alerts by each dimension and in all, in one aggregate over grouping sets. A missing
+    value is ``unknown``; the row of all alerts has dimension and value ``all``."""
+    known = df.select(*[F.coalesce(F.col(d), F.lit("unknown")).alias(d) for d in dimensions])
+    sets = [[F.col(d)] for d in dimensions]
+    grouped = known.groupingSets([*sets, []], *dimensions).agg(F.count(F.lit(1)).alias("alerts"), *[F.grouping(d).alias(f"_{d}") for d in dimensions])
+    dimension, value = F.lit("all"), F.lit("all")
+    for d in dimensions:
+        dimension = F.when(F.col(f"_{d}") == 0, F.lit(d)).otherwise(dimension)
+        value = F.when(F.col(f"_{d}") == 0, F.col(d)).otherwise(value)
+    return grouped.select(dimension.alias("dimension"), value.alias("value"), "alerts")
+
+
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
     """First ``n`` rows in order; Spark keeps only ``n`` per task while it sorts."""
     return df.orderBy(*order).limit(n)

@@ -111,7 +111,8 @@ class SnapshotTable:
     def append(self, df: DataFrame, run_id: str | None = None, evolve: bool = False) -> int:
         """Add rows. A run id that was committed before is not written again.
 
-        With ``evolve`` columns new to the table are added; older rows have nulls there.
+        With ``evolve`` columns new to the table are added, null in older rows, and types
+        grow where ``tables.wider`` has one for both; a column that has none is an error.
         """
         last = self._last()
         if done := self._done(run_id, last):
@@ -223,22 +224,21 @@ class SnapshotTable:
         folders = [f"{self._data}/{_VERSION}={version}/{_PIECE}={piece}" for version, piece in parts]
         return self.spark.read.schema(stored).option("basePath", self._data).parquet(*folders)
 
+    def check(self, df: DataFrame) -> DataFrame:
+        """What ``append`` with ``evolve`` would do with each column; see ``tables.schema_fit``."""
+        fit = tables.schema_fit(self._schema(self._entry(None)), df.schema)
+        return self.spark.createDataFrame(fit, "column_name string, table_type string, offered_type string, decision string")
+
     def _fit(self, df: DataFrame, last: Row, evolve: bool = False) -> DataFrame:
         """Check the columns against the table; absent ones are filled with nulls, and
         new ones stand last if the table may evolve."""
         schema = self._schema(last)
-        known = {f.name: f.dataType for f in schema}
-        for f in df.schema:
-            if f.name not in known and evolve:
-                continue
-            if f.name not in known:
-                raise SchemaMismatch(f"column {f.name} is not in the table")
-            if f.dataType != known[f.name]:
-                raise SchemaMismatch(
-                    f"column {f.name} is {known[f.name].simpleString()}, not {f.dataType.simpleString()}"
-                )
-        new = [c for c in df.columns if c not in known]
-        return tables.add_missing(df, schema).select(*schema.names, *new)
+        for name, held, new, decision in tables.schema_fit(schema, df.schema):
+            if decision == "add" and not evolve:
+                raise SchemaMismatch(f"column {name} is not in the table")
+            if decision == "refuse" or decision in ("cast", "widen") and not evolve:
+                raise SchemaMismatch(f"column {name} is {held}, not {new}")
+        return tables.fitted(df, schema)[0]
 
     def _commit(
         self, df: DataFrame, last: Row | None, operation: str, run_id: str | None, removed: list[Part] | None = None

@@ -50,6 +50,55 @@ def evolve(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch, allowMissingColumns=True)
 
 
+#: Fixed order: a type may become any that stands behind it in its row.
+_WIDENING = (
+    ("tinyint", "smallint", "int", "bigint", "decimal(20,0)"),
+    ("float", "double"),
+    ("tinyint", "smallint", "int", "double"),
+    ("date", "timestamp_ntz"),
+)
+
+
+def wider(one: T.DataType, other: T.DataType) -> T.DataType | None:
+    """The type that holds all values of both without loss, None if neither does."""
+    names = one.simpleString(), other.simpleString()
+    if names[0] == names[1]:
+        return one
+    for row in _WIDENING:
+        if names[0] in row and names[1] in row:
+            return max(one, other, key=lambda t: row.index(t.simpleString()))
+    return None
+
+
+def schema_fit(table: T.StructType, offered: T.StructType) -> list[tuple[str, str | None, str | None, str]]:
+    """What becomes of each column when rows of ``offered`` come to the table: ``same``,
+    ``absent`` (null in the new rows), ``cast`` (up to the table's type), ``widen`` (the
+    table's type grows), ``add``, or ``refuse``."""
+    out = []
+    for name in dict.fromkeys([*table.names, *offered.names]):
+        held = table[name].dataType if name in table.names else None
+        new = offered[name].dataType if name in offered.names else None
+        if held is None or new is None:
+            decision = "add" if held is None else "absent"
+        else:
+            common = wider(held, new)
+            decision = "refuse" if common is None else "same" if held == new else "cast" if common == held else "widen"
+        out.append((name, held and held.simpleString(), new and new.simpleString(), decision))
+    return out
+
+
+def fitted(df: DataFrame, table: T.StructType) -> tuple[DataFrame, T.StructType, list[str]]:
+    """The rows in the shape the table gets, that shape, and the columns refused: those are
+    left out of the rows and keep the table's type."""
+    decisions = schema_fit(table, df.schema)
+    kinds = {f.name: f.dataType for f in table} | {name: df.schema[name].dataType for name, _, _, d in decisions if d in ("add", "widen")}
+    shape = T.StructType([T.StructField(name, kinds[name]) for name, *_ in decisions])
+    refused = [name for name, _, _, d in decisions if d == "refuse"]
+    given = [name for name in df.columns if name not in refused]
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape])
+    return rows, shape, refused
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     """Concatenate, duplicates kept."""
     out = frames[0]

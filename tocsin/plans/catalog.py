@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tocsin import schemas
 from tocsin.functions import scalar
-from tocsin.operators import clean, layout, quality, ranking, reports, star, tables
+from tocsin.operators import clean, layout, quality, ranking, reports, sketches, star, tables
 from tocsin.operators.keyed_store import KeyedTable
 from tocsin.operators.snapshots import SnapshotTable
 from tocsin.operators.star_store import StarStore
@@ -24,7 +24,7 @@ from tocsin.session import new_path
 from tocsin.sources import files, messages, standin
 from tocsin.sources.standin import ALERTS_SQL, INCIDENTS_SQL, LARGE_SQL
 from tocsin.streaming import alerts as live
-from tocsin.streaming import run
+from tocsin.streaming import run, settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -377,8 +377,11 @@ def group_count(spark, sf_dir):
     FROM large_incidents WHERE severity = 'critical'""",
 )
 def global_avg(spark, sf_dir):
-    critical = reports.critical_only(standin.large_incidents(spark, sf_dir))
-    return rounded(reports.global_average(critical))
+    """Counted, then averaged, on one copy kept in memory."""
+    with layout.cached(reports.critical_only(standin.large_incidents(spark, sf_dir))) as critical:
+        total = critical.count()
+        average = rounded(reports.global_average(critical)).first()["avg_value"]
+    return spark.createDataFrame([(total, average)], "total bigint, avg_value double")
 
 
 @query(
@@ -1069,3 +1072,107 @@ def stream_late_data(spark, sf_dir):
         frame = live.zone_counts(live.decode(messages.file_stream(spark, topic)))
         run.start(frame, out, checkpoint, "update").awaitTermination()
     return zone_free(run.latest(spark, out, frame.schema, ["window_start", "window_end", "zone"]))
+
+
+@query("stream_settled", SQL["stream_zone_counts"])
+def stream_settled(spark, sf_dir):
+    """Zone counts of three runs over ever later messages, settled after each one."""
+    events = standin.table(spark, sf_dir, "events")
+    cuts = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [1 / 3, 2 / 3])).scalar()
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    third = F.when(at <= F.get(cuts, 0), 0).when(at <= F.get(cuts, 1), 1).otherwise(2)
+    topic, out, checkpoint = (new_path(spark, n) for n in ("topic", "stream", "checkpoint"))
+    with settled.rocksdb_state(spark):
+        for part in range(3):
+            _message_stream(standin.to_alerts(events.filter(third == part))).write.mode("append").parquet(topic)
+            frame = live.zone_counts(live.decode(messages.file_stream(spark, topic)))
+            run.start(frame, out, checkpoint, "update").awaitTermination()
+            windows = settled.SettledWindows(spark, out, frame.schema, ["window_start", "window_end", "zone"])
+            windows.settle()
+    return zone_free(windows.read())
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH {ALERTS_SQL}
+    SELECT incident_id, zone, severity, "timestamp" AS event_time,
+           (SELECT max("timestamp") FROM alerts) - INTERVAL 1 MINUTE AS watermark
+    FROM alerts
+    WHERE "timestamp" < (SELECT date_trunc('day', max("timestamp")) FROM alerts)
+      AND time_bucket(INTERVAL 30 SECOND, "timestamp") + INTERVAL 30 SECOND <= (SELECT max("timestamp") FROM alerts) - INTERVAL 1 MINUTE""",
+)
+def stream_late_rows(spark, sf_dir):
+    """As in ``stream_late_data``: what the counts drop there."""
+    events = standin.table(spark, sf_dir, "events")
+    last_day = events.agg(F.date_trunc("day", F.max("ts"))).scalar()
+    topic, out, checkpoint = (new_path(spark, n) for n in ("topic", "stream", "checkpoint"))
+    for part in (events.filter(F.col("ts") >= last_day), events.filter(F.col("ts") < last_day)):
+        _message_stream(standin.to_alerts(part)).write.mode("append").parquet(topic)
+        alerts = live.decode(messages.file_stream(spark, topic))
+        settled.start_late(alerts, out, checkpoint).awaitTermination()
+    late = settled.late_rows(spark, out, alerts.schema)
+    return zone_free(late.select("incident_id", "zone", "severity", "event_time", "watermark"))
+
+
+@query(
+    "stream_all",
+    f"""WITH {ALERTS_SQL},
+    windows AS (SELECT *, time_bucket(INTERVAL 30 SECOND, "timestamp") AS w FROM alerts)
+    SELECT 'zone_activity' AS name, (SELECT count(*) FROM alerts) AS input_rows, CAST(0 AS BIGINT) AS dropped_rows,
+           (SELECT count(*) FROM (SELECT DISTINCT w, zone FROM windows)) AS written_rows
+    UNION ALL SELECT 'severity_breakdown', (SELECT count(*) FROM alerts), 0, (SELECT count(*) FROM (SELECT DISTINCT w, severity FROM windows))
+    UNION ALL SELECT 'anomaly_detector', (SELECT count(*) FROM alerts), 0, (SELECT count(*) FROM ({SQL["anomalies"]}))""",
+)
+def stream_all(spark, sf_dir):
+    """The three standing queries in one run, with what each read, dropped and wrote."""
+    out, checkpoint = new_path(spark, "stream"), new_path(spark, "checkpoint")
+    alerts = live.decode(_message_stream(_payload_stream(spark, sf_dir)))
+    runs = run.run_all(alerts, out, checkpoint, trigger=run.AVAILABLE_NOW)
+    rows = [spark.read.parquet(f"{out}/{name}").agg(F.lit(name).alias("name"), F.count("*").alias("written_rows")) for name in ("zone_activity", "anomaly_detector", "severity_breakdown")]
+    return runs.drop("batches").join(tables.union_all(*rows), "name")
+
+
+@query(
+    "zone_variety_hourly",
+    f"""WITH {INCIDENTS_SQL},
+    spans AS (SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS span_start, zone, alert_key FROM incidents
+              UNION ALL SELECT time_bucket(INTERVAL 1 DAY, "timestamp", TIMESTAMP '2024-01-01'), 'whole day', alert_key FROM incidents)
+    SELECT span_start, zone, count(*) AS rows, count(DISTINCT alert_key) AS variety FROM spans GROUP BY span_start, zone""",
+)
+def zone_variety_hourly(spark, sf_dir):
+    """Distinct keys by zone and hour, and of all zones by day, from stored sketches of 30 seconds."""
+    df = standin.to_incidents(standin.table(spark, sf_dir, "events"))
+    timed = df.withColumn("at", F.col("timestamp").cast("timestamp"))
+    stored = files.replace_table(sketches.variety(timed, "alert_key", "at", "30 seconds", ["zone"]), new_path(spark, "sketches"))
+    hourly = sketches.estimated(sketches.merged(stored, "1 hour", ["zone"]), "variety")
+    daily = sketches.estimated(sketches.merged(stored, "1 day", []), "variety").withColumn("zone", F.lit("whole day"))
+    return zone_free(hourly.unionByName(daily).select("span_start", "zone", "rows", "variety"))
+
+
+@query("alert_cube", f"""{SQL["alert_stats"]} UNION ALL SELECT 'all', 'all', count(*) FROM alerts""")
+def alert_cube(spark, sf_dir):
+    return reports.alert_cube(standin.to_alerts(standin.table(spark, sf_dir, "events")))
+
+
+@query(
+    "schema_check",
+    """WITH late AS (SELECT count(*) AS n FROM lineitem WHERE l_shipdate >= DATE '1997-01-01'),
+    whole AS (SELECT count(*) AS n FROM lineitem)
+    SELECT column_name, decision, CASE WHEN column_name IN ('note', 'count') THEN late.n ELSE whole.n END AS known_values
+    FROM (VALUES ('incident_id', 'widen'), ('zone_id', 'widen'), ('timestamp', 'same'), ('response_time', 'cast'),
+                 ('severity', 'same'), ('note', 'add'), ('count', 'add')) AS v(column_name, decision), late, whole""",
+)
+def schema_check(spark, sf_dir):
+    """Early rows with narrow types, late ones with wide types and new columns, in one
+    versioned table: what became of each column, and how many values it holds."""
+    df = standin.large_incidents(spark, sf_dir)
+    late = F.coalesce(F.col("timestamp") >= F.lit("1997-01-01").cast("timestamp_ntz"), F.lit(False))
+    lake = _lake(spark)
+    lake.append(df.filter(~late).withColumns({"incident_id": F.col("incident_id").cast("int"), "zone_id": F.col("zone_id").cast("smallint")}))
+    wide = {"zone_id": F.col("zone_id").cast("int"), "response_time": F.col("response_time").cast("float"), "note": F.lit("late"), "count": F.lit(1)}
+    offered = df.filter(late).withColumns(wide)
+    fit = lake.check(offered)
+    lake.append(offered, evolve=True)
+    counts = lake.read().agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in lake.read().columns])
+    values = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("known_values")) for c in counts.columns])))
+    return fit.join(values, "column_name").select("column_name", "decision", "known_values")

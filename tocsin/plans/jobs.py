@@ -82,10 +82,10 @@ def nightly(
     df: DataFrame, root: str, run_id: str, rules: quality.Rules = quality.Rules()
 ) -> SnapshotTable:
     """Extract, gate, transform, load, append a version. The gate stops the job
-    before anything but the extract is written."""
+    before anything but the extract is written; most of it is measured on that write."""
     spark = df.sparkSession
-    extract = files.replace_table(df, f"{root}/extract/run_id={run_id}")
-    quality.gate(extract, rules, on_fail="raise")
+    extract, measured = quality.measured_write(df, rules, lambda rows: files.replace_table(rows, f"{root}/extract/run_id={run_id}"))
+    quality.gate(extract, rules, on_fail="raise", measured=measured)
     result = ops.lower_column(ops.drop_any_null(extract))
     transformed = files.replace_table(result, f"{root}/transformed/run_id={run_id}")
     files.append_run(transformed, f"{root}/incidents", run_id)
@@ -108,10 +108,10 @@ def capstone(
     """
     spark = df.sparkSession
     result = ops.lower_column(ops.drop_null_key(df))
-    prepared = files.replace_table(result, f"{root}/prepared/run_id={run_id}")
+    prepared, measured = quality.measured_write(result, rules, lambda rows: files.replace_table(rows, f"{root}/prepared/run_id={run_id}"))
     table = SnapshotTable(spark, f"{root}/lake")
     table.append(prepared, run_id=run_id)
-    passed = quality.gate(prepared, rules, on_fail="report")
+    passed = quality.gate(prepared, rules, on_fail="report", measured=measured)
     summary = reports.dashboard(table.read())
     files.write_csv(summary, f"{root}/dashboard")
     return files.read_csv(spark, f"{root}/dashboard", summary.schema), passed

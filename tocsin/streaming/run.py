@@ -5,12 +5,14 @@ restart or a lost executor.
 
 from __future__ import annotations
 
+import time
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tocsin import schemas
 from tocsin.operators import reports, tables
@@ -210,3 +212,66 @@ def alert_totals(spark: SparkSession, out: str) -> DataFrame:
     """Running totals: the sum of the counts that each batch wrote."""
     counts = written(spark, f"{out}/stats", schemas.ALERT_COUNT)
     return counts.groupBy("dimension", "value").agg(F.sum("alerts").alias("alerts"))
+
+
+def alert_total(spark: SparkSession, out: str) -> DataFrame:
+    """All alerts taken in: every one has a severity, be it ``unknown``."""
+    counts = written(spark, f"{out}/stats", schemas.ALERT_COUNT).filter("dimension = 'severity'")
+    return counts.agg(F.coalesce(F.sum("alerts"), F.lit(0)).alias("alerts"))
+
+
+class _Totals(StreamingQueryListener):
+    """What each query has read, dropped as late and run, added up over its batches."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, list[int]] = {}
+        self.ended: dict[str, str | None] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        total = self.rows.setdefault(str(progress.runId), [0, 0, 0])
+        total[0] += 1
+        total[1] += progress.numInputRows
+        total[2] += sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)] = event.exception
+
+
+_RUNS = schemas.struct("name string, batches bigint, input_rows bigint, dropped_rows bigint")
+
+
+def run_all(alerts: DataFrame, out: str, checkpoint: str, trigger: str | None = None, seconds: float | None = None) -> DataFrame:
+    """Run the three standing queries together until all end, or for so many seconds.
+
+    They end jointly: if one fails, the others are stopped and its error is raised.
+    Returns a row for each: batches, rows read and rows dropped as late.
+    """
+    spark, totals = alerts.sparkSession, _Totals()
+    spark.streams.addListener(totals)
+    queries: list[StreamingQuery] = []
+    until = None if seconds is None else time.monotonic() + seconds
+    try:
+        queries += start_all(alerts, out, checkpoint, trigger)
+        while any(q.isActive for q in queries) and (until is None or time.monotonic() < until):
+            for query in queries:
+                query.awaitTermination(1)
+                if query.exception():
+                    raise query.exception()
+    finally:
+        for query in queries:
+            query.stop()
+        # Events come later than the end they tell of.
+        for _ in range(300):
+            if all(str(q.runId) in totals.ended for q in queries):
+                break
+            time.sleep(0.1)
+        spark.streams.removeListener(totals)
+    rows = [(q.name, *totals.rows.get(str(q.runId), [0, 0, 0])) for q in queries]
+    return spark.createDataFrame(rows, _RUNS)
