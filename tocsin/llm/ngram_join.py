@@ -16,10 +16,11 @@ Shingles that no other set has are known from a filter (see ``repeated``): a set
 more than ``n - need`` of them links with nothing and posts nothing, and two sets whose
 other shingles are too few are no candidates. Equal sets are
 one class, found by the set's hash, and lists of equal members are one list. A list
-isn't expanded into pairs: in each round every set is compared with at most ``HUBS``
+isn't expanded into pairs: in each round every set is compared with at most two
 others of its lists, the first in an order over all sets, so that a group meets around
-the same few; links are folded into components, and only lists of several components go
-on. When that no longer helps, the pairs of different components that are left are
+the same few. One order prefers sets with few shingles of their own, as the text that all
+copies were made from has, the other is at random. Links are folded into components, and
+only lists of several components go on. When that no longer helps, the pairs of different components that are left are
 compared, so no link that joins components is lost. There, and before two sets are
 brought together, a sketch of the parities of their hashes gives a lower bound on their
 difference, which rules out most pairs that don't link, inside the join.
@@ -50,7 +51,7 @@ from tocsin.llm.repeated import buckets_for, repeated
 FREQUENT, COPIES = 12, 4
 #: Entries of a list that a posting meets, at most, in the cost of a size.
 LIST = 4
-HUBS, ROUNDS = 2, 10
+ROUNDS = 10
 #: Rounds go on while they leave less than this share of the pairs.
 GAIN = 0.8
 #: Bits of the parity sketch that bounds how much two sets differ.
@@ -221,18 +222,20 @@ def _folded(posted: DataFrame) -> DataFrame:
 
 
 def _met(lists: DataFrame, threshold: float, turn: int) -> DataFrame:
-    """Pairs ``a, b`` of each set with the first of another group, in ``HUBS`` orders over
+    """Pairs ``a, b`` of each set with the first of another group, in two orders over
     all sets, among the firsts of its lists."""
-    orders = [F.xxhash64("sig", F.lit(turn * HUBS + i)).alias("o") for i in range(HUBS)]
+    own = F.floor(F.log2(F.col("n") - F.col("rest") + 1)).cast("int")
+    ranks = [own, F.lit(0)]
+    orders = [F.struct(rank.alias("own"), F.xxhash64("sig", F.lit(turn * len(ranks) + i)).alias("h")).alias("o") for i, rank in enumerate(ranks)]
     firsts = [F.min(F.struct(o, "sig", "n", "rest", "group")).alias(f"h{i}") for i, o in enumerate(orders)]
     joined = lists.join(lists.groupBy("key").agg(*firsts), "key")
     chosen = []
-    for i in range(HUBS):
+    for i in range(len(orders)):
         hub = [F.col(f"h{i}.{c}") for c in ("o", "sig", "n", "rest", "group")]
         fits = (hub[4] != F.col("group")) & _fits(threshold, F.col("n"), F.col("rest"), hub[2], hub[3])
         chosen.append(F.min(F.when(fits, F.struct(hub[0].alias("o"), hub[1].alias("t")))).alias(f"c{i}"))
     met = joined.groupBy("sig").agg(*chosen)
-    met = met.select("sig", F.explode(F.array_compact(F.array(*[F.col(f"c{i}.t") for i in range(HUBS)]))).alias("t"))
+    met = met.select("sig", F.explode(F.array_compact(F.array(*[F.col(f"c{i}.t") for i in range(len(orders))]))).alias("t"))
     return met.select(F.greatest("sig", "t").alias("a"), F.least("sig", "t").alias("b")).distinct()
 
 
