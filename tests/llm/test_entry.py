@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, duck, sf, name):
 
 def test_all_are_registered():
     names = list(driver.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_by_hand(spark, sf):
@@ -82,3 +82,20 @@ def test_stages_take_awkward_and_empty_tables(spark, sf):
             out = stage(spark, table, sf)
             assert out.columns == docs.columns and out.count() <= table.count()
         assert corpus_pipeline.STAGES[-1][1](spark, table, sf).count() >= table.count()
+
+
+CLASHING = ["__id", "__mark", "__row", "__frequent", "frequent", "__text", "group", "sig", "key", "window", "term", "item", "pos", "n"]
+
+
+def test_columns_with_clashing_names_stay(spark, sf):
+    """The stages that keep documents hand on further columns whatever they are called."""
+    import edges
+
+    shape = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+    rows = [(*r[:5], *[f"{c} of {k}" for c in CLASHING]) for k, r in enumerate(edges.rows())]
+    docs = spark.createDataFrame(rows, shape)
+    given = {tuple(r[i] for i in range(len(r)) if i != 1) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        kept = [tuple(r[i] for i in range(len(r)) if i != 1) for r in out.collect()]
+        assert out.columns == docs.columns and kept and set(kept) <= given, name

@@ -54,10 +54,14 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+ROW = "__row"
+
+
 def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns and the row keys."""
+    """The row keys, and all columns as the one struct ``__row``, whatever they are called;
+    ``select("__row.*")`` brings them back."""
     bounded_batches(docs.sparkSession)
-    return docs.withColumns({ID: row_id(id_col), MARK: text_mark(text_col)})
+    return docs.select(row_id(id_col).alias(ID), text_mark(text_col).alias(MARK), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
 
 
 def unused(df: DataFrame, name: str) -> str:

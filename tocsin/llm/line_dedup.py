@@ -26,15 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, TEXT, keyed, map_arrow, stored, with_keys
+from tocsin.llm.common import ID, KEYS, MARK, ROW, TEXT, keyed, map_arrow, scan_tasks, stored, unused, with_keys
 from tocsin.session import new_path
 
 #: Fixed by the contract: what is stripped from both ends of a line.
 BLANKS = b" \t\n\x0b\f\r"
 RUN = "line long, n long, total long, known boolean"
 FANOUT = 4
-#: Lines of a batch, counted once for each document.
-BATCH_LINES = 50_000_000
+#: Scanning tasks whose lines make a batch, at most; lines of a bucket, and buckets.
+BATCH_TASKS, BUCKET_LINES, BUCKETS = 32, 20_000_000, 50_000
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -156,21 +156,28 @@ def frequent_lines(
 ) -> DataFrame:
     """Row keys and ``frequent``, the hashes of a document's lines that are to go.
 
-    Hashes of all lines are written once; batches of them, parted by row key and
-    more than a level holds, go through the store. Frequent lines come back to their documents by a join on the
+    Hashes of all lines are written once, each batch to a folder of its own: the lines of
+    some tasks, or a share of a task's, so that there are more batches than a level
+    holds. They go through the store. Frequent lines come back to their documents by a join on the
     line, whose hot keys Spark splits, and are folded to one list per document, which
     is never longer than the document.
     """
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hashed = stored(distinct_lines(docs, min_chars, id_col, text_col), "lines")
-    if batches is None:
+    hashed = distinct_lines(docs, min_chars, id_col, text_col)
+    tasks, wanted = max(1, scan_tasks(hashed)), batches or FANOUT + 1
+    each = max(1, min(BATCH_TASKS, tasks // wanted))
+    shares = -(-wanted // tasks)
+    batch = F.floor(F.spark_partition_id() / each) * shares + F.pmod(F.xxhash64(ID, MARK), F.lit(shares))
+    path = new_path(spark, "lines")
+    hashed.withColumn("batch", batch.cast("int")).write.partitionBy("batch").parquet(path)
+    hashed = spark.read.schema(f"{ID} long, {MARK} int, lines array<long>, batch int").parquet(path)
+    if buckets is None:
         held = hashed.agg(F.sum(F.size("lines")).alias("n")).first().n or 0
-        batches = max(FANOUT + 1, held // BATCH_LINES)
-    batch = F.pmod(F.xxhash64(ID, MARK), F.lit(batches)).cast("int")
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(BUCKETS, held // BUCKET_LINES))
     store = LineRuns(spark, buckets)
-    for n in range(batches):
-        store.add(hashed.filter(batch == n).select(F.explode("lines").alias("line")))
+    # As many numbers as there are batches; one that got no rows has no folder.
+    for n in sorted(r.batch for r in hashed.select("batch").distinct().collect()):
+        store.add(hashed.filter(F.col("batch") == n).select(F.explode("lines").alias("line")))
     gone = stored(store.frequent(min_docs), "frequent")
     store.close()
     found = hashed.select(*KEYS, F.explode("lines").alias("line")).join(gone, "line", "left_semi")
@@ -217,7 +224,7 @@ def clean(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str =
     """The same rows and columns with frequent lines taken out of the text; a null text stays null."""
     min_chars = max(1, min_chars)
     found = frequent_lines(docs, min_docs, min_chars, id_col=id_col, text_col=text_col)
-    rows = with_keys(docs, id_col, text_col).join(found.withColumnRenamed("frequent", "__frequent"), KEYS, "left")
+    rows = with_keys(docs, id_col, text_col).join(found, KEYS, "left")
     at = docs.columns.index(text_col)
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,4 +235,4 @@ def clean(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str =
             columns[at] = pa.array(kept, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns[:-1], part.schema.names[:-1])
 
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "__frequent").mapInArrow(make, docs.schema)
+    return rows.select(f"{ROW}.*", F.col("frequent").alias(unused(docs, "frequent"))).mapInArrow(make, docs.schema)

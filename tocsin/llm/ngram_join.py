@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, NO_ID, WordHashes, keyed, map_arrow, mixed, rolling, slices, stored, text_bytes, with_keys
+from tocsin.llm.common import ID, KEYS, MARK, NO_ID, ROW, WordHashes, keyed, map_arrow, mixed, rolling, slices, stored, text_bytes, with_keys
 from tocsin.llm.components import components
 from tocsin.llm.repeated import buckets_for, repeated
 
@@ -300,4 +300,4 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.75, id_col
     rows = with_keys(docs, id_col, text_col)
     empty = found.filter("group IS NULL").select(*KEYS).distinct()
     kept = rows.join(stay, KEYS).dropDuplicates(KEYS)
-    return kept.unionByName(rows.join(empty, KEYS, "left_semi")).drop(*KEYS)
+    return kept.unionByName(rows.join(empty, KEYS, "left_semi")).select(f"{ROW}.*")

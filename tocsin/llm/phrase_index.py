@@ -24,7 +24,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import ID, KEYS, MARK, row_id, stored, text_bytes, text_mark, with_keys
+from tocsin.llm.common import ID, KEYS, MARK, ROW, row_id, stored, text_bytes, text_mark, with_keys
 from tocsin.session import new_path
 
 #: Fixed by the contract: a word of the text as it is before A-Z are lower-cased.
@@ -79,7 +79,8 @@ class PhraseIndex:
 
     def __init__(self, docs: DataFrame, terms: DataFrame, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text"):
         self.spark = docs.sparkSession
-        self.buckets = buckets or max(12, text_bytes(docs, text_col) // (16 << 20))
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        self.buckets = buckets or min(most, max(12, text_bytes(docs, text_col) // (16 << 20)))
         known = stored(terms.select(F.col("term").alias("known")).distinct(), "terms")
         dealt = docs.select(row_id(id_col).alias(ID), text_mark(text_col).alias(MARK), F.col(text_col).alias("t")).repartition(self.buckets, *KEYS)
         split = dealt.select(*KEYS, words(F.col("t")).alias("w"))
@@ -87,11 +88,12 @@ class PhraseIndex:
         placed = placed.select(*KEYS, "last", "pos", F.xxhash64(folded(F.col("word"))).alias("term"))
         found = placed.join(small(known, known.count()), F.col("term") == F.col("known"), "left")
         self.name = f"postings_{uuid.uuid4().hex}"
+        self.path = new_path(self.spark, self.name)
         (
             found.filter("known IS NOT NULL OR pos = last")
             .select(*KEYS, F.col("known").alias("term"), "pos", (F.col("pos") == F.col("last")).alias("ends"))
             .write.bucketBy(self.buckets, *KEYS)
-            .option("path", new_path(self.spark, self.name))
+            .option("path", self.path)
             .saveAsTable(self.name)
         )
 
@@ -103,7 +105,10 @@ class PhraseIndex:
         return self.spark.table(self.name).filter("ends").select(*KEYS, (F.col("pos") + 1).alias("n")).distinct()
 
     def close(self) -> None:
+        """Drop the table and delete its files; frames over the index can't be read any more."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def ranked(self, windows: DataFrame) -> DataFrame:
         """Each window's terms, the rarest of the corpus first; windows with an absent term are left out."""
@@ -167,7 +172,8 @@ def contamination(
     """Row keys, ``n_words``, ``n_hit`` and the sorted ``items`` (as strings) of every row."""
     windows = stored(item_windows(items, width, item_col), "windows")
     index = PhraseIndex(docs, windows, id_col=id_col, text_col=text_col)
-    hits = index.phrases(windows)
+    hits, sizes = index.phrases(windows), stored(index.sizes(), "sizes")
+    index.close()
     by = Window.partitionBy(*KEYS).orderBy("start", "len")
     ends = hits.select(*KEYS, "start", "len").distinct().withColumn("end", F.col("start") + F.col("len"))
     seen = F.coalesce(F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -177,7 +183,7 @@ def contamination(
     named = hits.select(*KEYS, "window").distinct().join(of, "window").groupBy(*KEYS).agg(F.array_sort(F.collect_set("item")).alias("items"))
     rows = docs.select(row_id(id_col).alias(ID), text_mark(text_col).alias(MARK))
     return (
-        rows.join(index.sizes(), KEYS, "left").join(covered, KEYS, "left").join(named, KEYS, "left")
+        rows.join(sizes, KEYS, "left").join(covered, KEYS, "left").join(named, KEYS, "left")
         .select(
             *KEYS,
             F.coalesce("n", F.lit(0)).cast("long").alias("n_words"),
@@ -190,4 +196,4 @@ def contamination(
 def clean(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that hold no window of any item, with their columns as they are."""
     hit = contamination(docs, items, width, id_col=id_col, text_col=text_col).filter("n_hit > 0").select(*KEYS).distinct()
-    return with_keys(docs, id_col, text_col).join(hit, KEYS, "left_anti").drop(*KEYS)
+    return with_keys(docs, id_col, text_col).join(hit, KEYS, "left_anti").select(f"{ROW}.*")
