@@ -1,8 +1,9 @@
 """Phrase collocation mining by broadcast tries of Apriori-safe candidates.
 
-Texts are read once: slices of a few megabytes of one language become the numbers of
-their words, first within the slice, then, by a join with the words that are frequent
-enough, numbers for the whole corpus; zero stands for a break and for all other words.
+Texts are read once: slices of a few megabytes of one language become the places of
+their words among the distinct ones of the slice. Those go, packed, to the buckets of
+their hashes, where they are counted; the frequent ones get numbers for the whole corpus, and
+each slice is told the numbers of its words. Zero stands for a break and for all other words.
 
 A phrase can only be frequent if both phrases without its first and without its last
 word are. Level by level, windows whose two parts passed the level before are hashed
@@ -24,18 +25,20 @@ and count come in the order of their UTF-8 bytes.
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import BASE, bounded_batches, mixed, stored
+from tocsin.llm.common import BASE, bounded_batches, mixed, stored, text_bytes
 from tocsin.llm.phrase_trie import Trie
-from tocsin.llm.repeated import Filter, buckets_for, repeated
-from tocsin.operators.ranking import number_keys
+from tocsin.llm.repeated import Filter, bucket_of, buckets_for, repeated
 
 #: Fixed by the contract: what ends a piece, and the lower-casing of A-Z. Tabs are spaces.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -43,6 +46,8 @@ UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 PLAIN = bytes.maketrans(BREAKS + b"\t" + UPPER, b"\n" * len(BREAKS) + b" " + LOWER)
 #: Bytes of text of one language that become one slice, and that a task holds at most.
 SLICE, HELD = 4 << 20, 12 << 20
+#: Bytes of text whose distinct words meet in a bucket.
+BUCKET = 64 << 20
 #: Phrases of one trie, about.
 TRIE = 1_000_000
 #: Phrases whose counts travel and are summed together.
@@ -68,15 +73,37 @@ def numbered(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words.dictionary.cast(pa.binary()), np.bincount(places, minlength=len(words.dictionary)), codes
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+SLICED = "slice long, lang string, bucket int, words array<binary>, counts array<long>, at binary, codes binary"
+NAMED = "slice long, at binary, ids binary, lang string, word binary, f long, id int"
+
+
+def _sliced(number: int, lang: str, texts: list[bytes], buckets: int) -> pa.RecordBatch:
+    """A slice as ``SLICED``: a row with its codes, and one for each bucket with its words,
+    their counts and their places."""
+    words, counts, codes = numbered(texts)
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+    bucket = bucket_of(hashed, buckets).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    found, starts = np.unique(bucket[order], return_index=True)
+    offsets = pa.array([0, *starts, len(order)], pa.int32())  # the first row has no words
+    n = len(found) + 1
+    places = [x.astype(np.int32).tobytes() for x in np.split(order, starts[1:])][: n - 1]
+    columns = [
+        pa.array([number] * n, pa.int64()), pa.array([lang] * n), pa.array([None, *found], pa.int32()),
+        pa.ListArray.from_arrays(offsets, words.take(pa.array(order))), pa.ListArray.from_arrays(offsets, pa.array(counts[order].astype(np.int64))),
+        pa.array([None, *places], pa.binary()), pa.array([codes.tobytes(), *[None] * (n - 1)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["slice", "lang", "bucket", "words", "counts", "at", "codes"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     held: dict[str, list[bytes]] = defaultdict(list)
     size: dict[str, int] = defaultdict(int)
+    numbers = itertools.count(TaskContext.get().partitionId() << 32)
 
     def cut(lang: str) -> pa.RecordBatch:
-        words, counts, codes = numbered(held.pop(lang))
         del size[lang]
-        row = [pa.array([lang]), pa.ListArray.from_arrays([0, len(words)], words), pa.ListArray.from_arrays([0, len(words)], pa.array(counts.astype(np.int64))), pa.array([codes.tobytes()])]
-        return pa.RecordBatch.from_arrays(row, ["lang", "words", "counts", "codes"])
+        return _sliced(next(numbers), lang, held.pop(lang), buckets)
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -90,13 +117,47 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield cut(lang)
 
 
+def _named(table: pa.Table, buckets: int, min_count: int) -> pa.Table:
+    """The words of a bucket that are frequent, with their counts and numbers, and for
+    each slice the places of those it has."""
+    table = table.combine_chunks()
+    lists, langs = table.column("words").combine_chunks(), table.column("lang").to_pylist()
+    sizes = np.asarray(lists.value_lengths())
+    words = lists.flatten().dictionary_encode()
+    counts = np.asarray(table.column("counts").combine_chunks().flatten())
+    of_lang = {lang: k for k, lang in enumerate(sorted(set(langs)))}
+    kinds = np.repeat(np.array([of_lang[lang] for lang in langs], np.int64), sizes)
+    keys, back = np.unique(kinds << 32 | np.asarray(words.indices).astype(np.int64), return_inverse=True)
+    order = np.argsort(back, kind="stable")
+    sums = np.add.reduceat(counts[order], np.searchsorted(back[order], np.arange(len(keys)))) if len(keys) else counts
+    frequent = np.flatnonzero(sums >= min_count)
+    names, plain = sorted(of_lang, key=of_lang.get), words.dictionary
+    rows = sorted((names[keys[k] >> 32], plain[int(keys[k] & 0xFFFFFFFF)].as_py(), int(sums[k]), int(k)) for k in frequent)
+    bucket = table.column("bucket")[0].as_py()
+    ids = np.zeros(len(keys), np.int32)
+    for rank, row in enumerate(rows):
+        ids[row[3]] = 1 + bucket + buckets * rank
+    own = np.split(ids[back], np.cumsum(sizes)[:-1])
+    at = [np.frombuffer(x, np.int32) for x in table.column("at").to_pylist()]
+    told = [(s, a[i > 0].tobytes(), i[i > 0].tobytes()) for s, a, i in zip(table.column("slice").to_pylist(), at, own, strict=True) if i.any()]
+    none = [None]
+    columns = [
+        [t[0] for t in told] + none * len(rows), [t[1] for t in told] + none * len(rows), [t[2] for t in told] + none * len(rows),
+        none * len(told) + [r[0] for r in rows], none * len(told) + [r[1] for r in rows], none * len(told) + [r[2] for r in rows],
+        none * len(told) + [int(ids[r[3]]) for r in rows],
+    ]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.int64(), pa.int32()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["slice", "at", "ids", "lang", "word", "f", "id"])
+
+
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices' codes and the frequent words' places and numbers to numbers, runs of zeros as one."""
     for batch in batches:
-        for codes, at, ids in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for codes, told in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             codes = np.frombuffer(codes, np.int32)
-            of = np.zeros(max(codes.max(initial=-1), max(at, default=-1)) + 2, np.int32)
-            of[np.array(at, np.int64)] = ids
+            of = np.zeros(codes.max(initial=-1) + 2, np.int32)
+            for part in told or []:
+                of[np.frombuffer(part["at"], np.int32)] = np.frombuffer(part["ids"], np.int32)
             found = of[codes]  # the last place, that of breaks, is zero
             keep = (found > 0) | np.append(found[1:] > 0, False)
             yield pa.RecordBatch.from_arrays([pa.array([found[keep].tobytes()])], ["ids"])
@@ -145,18 +206,15 @@ def encode(docs: DataFrame, min_count: int, lang_col: str, text_col: str) -> tup
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")), F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    slices = texts.mapInArrow(_slices, "lang string, words array<binary>, counts array<long>, codes binary")
-    slices = stored(slices.withColumn("slice", F.monotonically_increasing_id()), "slices")
-    each = slices.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    frequent = each.groupBy("lang", "word").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
-    frequent = stored(frequent, "words")
-    words = stored(number_keys(frequent.select("lang", "word"), "id").join(frequent, ["lang", "word"]), "words")
-    sizes = slices.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
-    places = slices.select("slice", "lang", F.posexplode("words").alias("at", "word")).join(words.drop("f"), ["lang", "word"])
-    known = places.groupBy("slice").agg(F.collect_list("at").alias("at"), F.collect_list(F.col("id").cast("int")).alias("ids"))
-    none = F.array().cast("array<int>")
-    both = slices.select("slice", "codes").join(known, "slice", "left").select("codes", F.coalesce("at", none), F.coalesce("ids", none))
-    return words, sizes, stored(both.mapInArrow(_coded, "ids binary"), "numbers")
+    buckets = max(24, text_bytes(docs, text_col) // BUCKET)
+    slices = stored(texts.mapInArrow(lambda batches: _slices(batches, buckets), SLICED), "slices")
+    each = slices.filter("bucket IS NOT NULL").drop("codes")
+    named = stored(each.groupBy("bucket").applyInArrow(lambda table: _named(table, buckets, min_count), NAMED), "words")
+    words = named.filter("slice IS NULL").select("lang", "word", "f", "id")
+    sizes = each.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
+    told = named.filter("slice IS NOT NULL").groupBy("slice").agg(F.collect_list(F.struct("at", "ids")).alias("told"))
+    both = slices.filter("codes IS NOT NULL").select("slice", "codes").join(told, "slice", "left").select("codes", "told")
+    return words, stored(sizes, "sizes"), stored(both.mapInArrow(_coded, "ids binary"), "numbers")
 
 
 def candidates(ids: DataFrame, words: int, min_count: int, most_words: int) -> DataFrame:
