@@ -48,6 +48,8 @@ PLAIN = bytes.maketrans(BREAKS + b"\t" + UPPER, b"\n" * len(BREAKS) + b" " + LOW
 SLICE, HELD = 4 << 20, 12 << 20
 #: Bytes of text whose distinct words meet in a bucket.
 BUCKET = 64 << 20
+#: Words of the corpus whose candidates meet in a bucket.
+LISTED = 10_000_000
 #: Phrases of one trie, about.
 TRIE = 1_000_000
 #: Phrases whose counts travel and are summed together.
@@ -190,14 +192,13 @@ def safe(ids: np.ndarray, filters: list[Filter]) -> Iterator[np.ndarray]:
         yield at
 
 
-def distinct_windows(ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """The distinct windows, a row each; exact, by numbering ever longer beginnings."""
-    code = np.zeros(len(at), np.int64)
-    first = at
-    for k in range(width):
-        _, index, code = np.unique(code << 32 | ids[at + k], return_index=True, return_inverse=True)
-        first = at[index]
-    return ids[first[:, None] + np.arange(width)]
+def distinct_rows(rows: np.ndarray) -> np.ndarray:
+    """The distinct rows of numbers under 2**31, by numbering ever longer beginnings."""
+    code = np.zeros(len(rows), np.int64)
+    first = np.arange(len(rows))
+    for column in rows.T:
+        _, first, code = np.unique(code << 32 | column, return_index=True, return_inverse=True)
+    return rows[first]
 
 
 def encode(docs: DataFrame, min_count: int, lang_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -237,16 +238,28 @@ def candidates(ids: DataFrame, words: int, min_count: int, most_words: int) -> D
     shared = context.broadcast(filters)
     columns = [f"w{k + 1}" for k in range(most_words)]
 
+    buckets = max(24, words // LISTED)
+
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The distinct candidates of a slice, packed by the bucket of their hash."""
         for numbers in _numbers(batches):
+            found = [np.zeros((0, most_words), np.int32)]
             for width, at in zip(range(2, most_words + 1), safe(numbers, shared.value), strict=False):
-                rows = np.zeros((0, most_words), np.int32)
-                if len(at):
-                    found = distinct_windows(numbers, at, width)
-                    rows = np.pad(found, ((0, 0), (0, most_words - width)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], columns)
-
-    return ids.mapInArrow(listed, ", ".join(f"{c} int" for c in columns)).distinct()
+                rows = distinct_rows(numbers[at[:, None] + np.arange(width)])
+                found.append(np.pad(rows, ((0, 0), (0, most_words - width))))
+            rows = np.concatenate(found)
+            bucket = bucket_of(hashes(rows.ravel(), np.arange(0, rows.size, most_words), most_words), buckets).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            some, starts = np.unique(bucket[order], return_index=True)
+            parts = np.split(rows[order], starts[1:])[: len(some)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["bucket", "rows"])
+
+    def united(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_buffer(), np.int32).reshape(-1, most_words) for x in table.column("rows")]
+        rows = distinct_rows(np.concatenate(parts))
+        return pa.table([pa.array(np.ascontiguousarray(c)) for c in rows.T], columns)
+
+    return ids.mapInArrow(listed, "bucket int, rows binary").groupBy("bucket").applyInArrow(united, ", ".join(f"{c} int" for c in columns))
 
 
 def counted(ids: DataFrame, found: DataFrame, trie_size: int = TRIE) -> DataFrame:
