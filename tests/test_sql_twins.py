@@ -1,5 +1,7 @@
 """Queries against their SQL on rows that the given tables lack."""
 
+from datetime import datetime, timedelta
+
 import duckdb
 
 import __spark_entry__ as driver
@@ -26,3 +28,10 @@ def test_a_mean_just_below_a_half_is_rounded_as_in_sql(spark, path):
     found = equal_to_sql(spark, path("sf"), "zone_rank_large", "lineitem", rows)
     # 681 / 40 = 17.025, which as a double is less
     assert (1, 17.02, 2) in found and (2, 17.02, 2) in found
+
+
+def test_many_distinct_keys_are_counted_exactly(spark, path):
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(seconds=i % 7200), (i * 7) % 2750, "click", 1.0, '{"k": 5}') for i in range(6000)]
+    found = equal_to_sql(spark, path("sf"), "zone_variety_hourly", "events", rows)
+    assert {r[1]: r[3] for r in found}["whole day"] == 2750

@@ -4,31 +4,55 @@ A sketch of a window answers for longer spans and fewer groups without the rows:
 union of sketches counts a value once however many windows hold it. Up to a few hundred
 values the count is as good as exact; beyond, its relative standard error is about
 ``0.83 / sqrt(2 ** precision)``, 1.3 % at 12 bits, in 2 KB of a sketch.
+
+Where the count has to be exact, the distinct values themselves are stored and merged
+the same way, a row for each value of a group and time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 PRECISION = 12
 
 
+def _spans(df: DataFrame, ts: str, span: str, keys: list[str]) -> GroupedData:
+    start = F.window(F.col(ts), span).getField("start").alias("span_start")
+    return df.filter(F.col(ts).isNotNull()).groupBy(start, *keys)
+
+
 def variety(df: DataFrame, value: str, ts: str, span: str, keys: list[str], precision: int = PRECISION) -> DataFrame:
     """``span_start``, the keys, rows and a sketch of the distinct values; null values
     are not counted. A value too frequent costs no more than another: sketches are
     folded in each task."""
-    start = F.window(F.col(ts), span).getField("start").alias("span_start")
-    grouped = df.filter(F.col(ts).isNotNull()).groupBy(start, *keys)
+    grouped = _spans(df, ts, span, keys)
     return grouped.agg(F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(value, precision).alias("sketch"))
 
 
+def _longer(span: str | None) -> list[Column]:
+    return [] if span is None else [F.window("span_start", span).getField("start").alias("span_start")]
+
+
 def merged(sketches: DataFrame, span: str | None, keys: list[str]) -> DataFrame:
     """Sketches of longer spans, or of all time if ``span`` is None, and of fewer keys."""
-    start = [] if span is None else [F.window("span_start", span).getField("start").alias("span_start")]
-    return sketches.groupBy(*start, *keys).agg(F.sum("rows").alias("rows"), F.hll_union_agg("sketch").alias("sketch"))
+    return sketches.groupBy(*_longer(span), *keys).agg(F.sum("rows").alias("rows"), F.hll_union_agg("sketch").alias("sketch"))
 
 
 def estimated(sketches: DataFrame, name: str) -> DataFrame:
     """The count in place of the sketch."""
     return sketches.withColumn(name, F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
+def values(df: DataFrame, value: str, ts: str, span: str, keys: list[str]) -> DataFrame:
+    """``span_start``, the keys and each of their values, null too, with its rows."""
+    return _spans(df, ts, span, [*keys, value]).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def counted(stored: DataFrame, value: str, span: str | None, keys: list[str], name: str) -> DataFrame:
+    """Rows and the exact number of distinct values over spans at least as long, or over all
+    time if ``span`` is None, and fewer keys; null values are not counted. Values are folded
+    first, so that a frequent one costs no more and a large group's are counted in many tasks."""
+    longer = ["span_start"] if span else []
+    each = stored.groupBy(*_longer(span), *keys, value).agg(F.sum("rows").alias("rows"))
+    return each.groupBy(*longer, *keys).agg(F.sum("rows").alias("rows"), F.count(value).alias(name))
