@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 from tocsin.llm.common import ID, MARK, NO_ID, TEXT, bounded_batches, map_arrow, row_id, slices, stored, text_bytes, text_mark
 
+#: Bytes of text tokenised at once; the words and ids of a slice take many times that.
+SLICE = 1 << 19
 #: A source is served in a window if so many tokens, or a document's end, are granted.
 LEAST = 64
 #: All but ASCII signs other than the stop and the comma, and runs of these two.
@@ -56,7 +58,7 @@ class WordTokens(dict):
 
     held: dict[str, WordTokens] = {}
 
-    def __init__(self, path: str, half: int = 500_000):
+    def __init__(self, path: str, half: int = 300_000):
         super().__init__()
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -76,7 +78,8 @@ class WordTokens(dict):
     def __missing__(self, word: bytes) -> bytes:
         value = self.old.pop(word, None) or self._encode(word)
         if len(self) >= self.half:
-            self.old = dict(self)
+            self.old.clear()
+            self.old.update(self)
             self.clear()
         self[word] = value
         return value
@@ -139,7 +142,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, mix_col: str, id_col
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens.of(tokenizer)
         kind = _kind(words.tokenizer.get_vocab_size())
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, most=SLICE)):
             ids, sizes = words.texts(batch.column(2).to_pylist(), end_id)
             cuts = np.cumsum(sizes)[:-1]
             arrays = [
