@@ -80,6 +80,39 @@ def test_large_group_that_does_not_link_as_a_whole(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def near_copies(seed, many, edits, size=400):
+    """Copies of one text with so many words changed in each."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(many):
+        own = [f"w{k}" for k in range(size)]
+        for at in r.sample(range(size), r.choice(edits)):
+            own[at] = f"x{r.randrange(10**9)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_group_of_many_lists_with_pairs_on_both_sides_of_the_threshold(spark):
+    rows = near_copies(7, 80, range(4, 9))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_copies_too_far_apart_make_few_pairs_in_the_last_join(spark, monkeypatch):
+    """Nearly none of the 100 copies link (about 0.68), but they share most of their lists."""
+    made = []
+    left = ngram_join._left
+
+    def counted(*args):
+        out = left(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_left", counted)
+    rows = near_copies(11, 100, [8])
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert len(made) == 1 and made[0] < 1000, made
+
+
 def test_boundary_follows_cost():
     assert ngram_join.boundary(1, 0.75) < ngram_join.boundary(20, 0.75)
 

@@ -21,9 +21,13 @@ others of its lists, the first in an order over all sets, so that a group meets
 the same few. One order prefers sets with few shingles of their own, as the text that all
 copies were made from has, the other is at random. Links are folded into components, and
 only lists of several components go on. When that no longer helps, the pairs of different components that are left are
-compared, so no link that joins components is lost. There, and before two sets are
-brought together, a sketch of the parities of their hashes gives a lower bound on their
-difference, which rules out most pairs that don't link, inside the join.
+compared, so no link that joins components is lost. There a sketch of the parities of
+their hashes gives a lower bound on their difference, which rules out most pairs that
+don't link, inside the join.
+
+A posting tells how many of its set's shared shingles come before it in the order. Where
+a list is the first that two sets have in common, none of those is in both, which bounds
+their overlap; most of the later lists two near copies share are passed over by it.
 
 Shingles and sets are told apart by 64-bit hashes.
 
@@ -35,7 +39,9 @@ take part, and a component's id is the smallest id in it, null if none has one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +61,7 @@ ROUNDS = 10
 #: Rounds go on while they leave less than this share of the pairs.
 GAIN = 0.8
 #: Bits of the parity sketch that bounds how much two sets differ.
-BITS = 512
+BITS = 2048
 
 
 def shingle_sets(batch: pa.RecordBatch, width: int, cache: WordHashes) -> list[np.ndarray]:
@@ -82,12 +88,14 @@ def boundary(mean_list: float, threshold: float, most: int = 400) -> int:
     return light
 
 
-def _keys(prefix1: np.ndarray, prefix2: np.ndarray, n: int, light: int, threshold: float) -> np.ndarray:
-    keys = [prefix1] if n > threshold * light else []
+def _keys(prefix1: np.ndarray, prefix2: np.ndarray, n: int, light: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """List keys, and how many shingles of the prefix two sets can't share if they meet there first."""
+    keys, before = ([prefix1], [np.arange(len(prefix1))]) if n > threshold * light else ([], [])
     if n <= light:
         a, b = np.triu_indices(len(prefix2), 1)
         keys.append(mixed(prefix2[a] * np.uint64(0x9E3779B97F4A7C15) + prefix2[b]))
-    return np.concatenate(keys)
+        before.append(b - 1)
+    return np.concatenate(keys), np.concatenate(before)
 
 
 def _parities(s: np.ndarray) -> np.ndarray:
@@ -101,7 +109,7 @@ def _signed(x: int) -> int:
 
 def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
     """Row keys, size and hash of each set and how many of its shingles others may have
-    (``rest``); its list keys and these shingles if it may link."""
+    (``rest``); its list keys, what comes ``before`` each, and these shingles if it may link."""
     rows = keyed(docs, id_col, text_col)
 
     def every(batch: pa.RecordBatch, cache: WordHashes = WordHashes()) -> np.ndarray:
@@ -123,7 +131,7 @@ def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_c
             kind[~twice.holds(h)] = 0
             look = np.nonzero(kind)[0]
             kind[look[often.holds(h[look])]] = 2
-            sizes, rests, sigs, keys, kept, odd, at = [], [], [], [], [], [], 0
+            sizes, rests, sigs, keys, before, kept, odd, at = [], [], [], [], [], [], [], 0
             for s in sets:
                 n, own = len(s), kind[at : at + len(s)]
                 at += n
@@ -133,12 +141,14 @@ def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_c
                 rests.append(n - lone)
                 if not n or lone >= slack + (1 if n > light else 2):
                     keys.append(None)
+                    before.append(None)
                     kept.append(None)
                     odd.append(None)
                     continue
                 order = s[np.argsort(own, kind="stable")]
-                found = _keys(order[lone : slack + 1], order[lone : slack + 2], n, light, threshold)
+                found, ahead = _keys(order[lone : slack + 1], order[lone : slack + 2], n, light, threshold)
                 keys.append(found.view(np.int64) if len(found) else None)
+                before.append(ahead.astype(np.int32) if len(found) else None)
                 kept.append(s[own > 0].tobytes() if len(found) else None)
                 odd.append(_parities(s) if len(found) else None)
             arrays = [
@@ -146,31 +156,29 @@ def described(docs: DataFrame, width: int, threshold: float, id_col: str, text_c
                 pa.array(rests, pa.int64()),
                 pa.array(sigs, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
+                pa.array(before, pa.list_(pa.int32())),
                 pa.array(kept, pa.binary()),
                 pa.array(odd, pa.list_(pa.int64())),
             ]
-            names = [ID, MARK, "n", "rest", "sig", "keys", "shared", "odd"]
+            names = [ID, MARK, "n", "rest", "sig", "keys", "before", "shared", "odd"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
 
-    return map_arrow(rows, make, f"{ID} long, {MARK} int, n long, rest long, sig long, keys array<long>, shared binary, odd array<long>")
+    return map_arrow(rows, make, f"{ID} long, {MARK} int, n long, rest long, sig long, keys array<long>, before array<int>, shared binary, odd array<long>")
 
 
-def _near(threshold: float, odd: Column, other_odd: Column, n: Column, other_n: Column) -> Column:
+def _near(threshold: float, odd: list[Column], other_odd: list[Column], n: Column, other_n: Column) -> Column:
     """Whether the sketches leave room for a link."""
     per = round(100 * threshold)
-    apart = sum((F.bit_count(F.get(odd, k).bitwiseXOR(F.get(other_odd, k))) for k in range(1, BITS // 64)), F.bit_count(F.get(odd, 0).bitwiseXOR(F.get(other_odd, 0))))
+    apart = reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(odd, other_odd, strict=True)))
     # 100 * same >= per * union, and same = (na + nb - difference) / 2
     return (100 + per) * (n + other_n - apart) >= 2 * per * (n + other_n)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the threshold. One set of a pair travels."""
+    """The pairs ``a, b`` whose sets reach the threshold."""
     per = round(100 * threshold)
-    sketch = sets.select("sig", "n", "odd")
-    near = pairs.join(sketch.toDF("a", "na", "odda"), "a").join(sketch.toDF("b", "nb", "oddb"), "b")
-    near = near.filter(_near(threshold, *[F.col(c) for c in ("odda", "oddb", "na", "nb")]))
-    whole = sets.select("sig", "shared")
-    both = near.select("a", "b", "na", "nb").join(whole.toDF("b", "setb"), "b").join(whole.toDF("a", "seta"), "a")
+    whole = sets.select("sig", "n", "shared")
+    both = pairs.join(whole.toDF("b", "nb", "setb"), "b").join(whole.toDF("a", "na", "seta"), "a")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +194,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _fits(threshold: float, n: Column, rest: Column, other_n: Column, other_rest: Column) -> Column:
-    """Whether two sets of these sizes can overlap enough: no more than either's rest is shared."""
+    """Whether two sets of these sizes can overlap enough if their first common list is this
+    one: no more than either's ``rest`` from there on is shared."""
     per = round(100 * threshold)
     return (100 + per) * F.least(rest, other_rest) >= per * (n + other_n)
 
@@ -206,7 +215,7 @@ def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def _open(lists: DataFrame, classes: DataFrame) -> tuple[DataFrame, float]:
     """The lists that hold more than one group, written, and the pairs across groups in them."""
-    tagged = stored(lists.join(classes, "sig").select("key", "sig", "n", "rest", "group"), "tagged")
+    tagged = stored(lists.join(classes, "sig").select("key", "sig", "n", "rest", "before", "group"), "tagged")
     several = tagged.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo != hi").select("key")
     left = stored(tagged.join(several, "key"), "open")
     sizes = left.groupBy("key", "group").agg(F.count("*").alias("m")).groupBy("key")
@@ -215,24 +224,25 @@ def _open(lists: DataFrame, classes: DataFrame) -> tuple[DataFrame, float]:
 
 
 def _folded(posted: DataFrame) -> DataFrame:
-    """The lists of two or more sets, one of those with equal members."""
+    """The lists of two or more sets; of those with equal members the one that is first in the
+    order. It is so for each member, so that no pair's first common list is put off."""
     members = [F.bit_xor(F.xxhash64("sig", F.lit(k))).alias(f"x{k}") for k in range(2)]
-    known = posted.groupBy("key").agg(F.count("*").alias("m"), *members).filter("m > 1")
-    return posted.join(known.groupBy("m", "x0", "x1").agg(F.min("key").alias("key")).select("key"), "key")
+    known = posted.groupBy("key").agg(F.count("*").alias("m"), F.sum("before").alias("o"), *members).filter("m > 1")
+    return posted.join(known.groupBy("m", "x0", "x1").agg(F.min(F.struct("o", "key")).alias("first")).select("first.key"), "key")
 
 
 def _met(lists: DataFrame, threshold: float, turn: int) -> DataFrame:
     """Pairs ``a, b`` of each set with the first of another group, in two orders over
     all sets, among the firsts of its lists."""
-    own = F.floor(F.log2(F.col("n") - F.col("rest") + 1)).cast("int")
+    own, after = F.floor(F.log2(F.col("n") - F.col("rest") + 1)).cast("int"), F.col("rest") - F.col("before")
     ranks = [own, F.lit(0)]
     orders = [F.struct(rank.alias("own"), F.xxhash64("sig", F.lit(turn * len(ranks) + i)).alias("h")).alias("o") for i, rank in enumerate(ranks)]
-    firsts = [F.min(F.struct(o, "sig", "n", "rest", "group")).alias(f"h{i}") for i, o in enumerate(orders)]
+    firsts = [F.min(F.struct(o, "sig", "n", after.alias("after"), "group")).alias(f"h{i}") for i, o in enumerate(orders)]
     joined = lists.join(lists.groupBy("key").agg(*firsts), "key")
     chosen = []
     for i in range(len(orders)):
-        hub = [F.col(f"h{i}.{c}") for c in ("o", "sig", "n", "rest", "group")]
-        fits = (hub[4] != F.col("group")) & _fits(threshold, F.col("n"), F.col("rest"), hub[2], hub[3])
+        hub = [F.col(f"h{i}.{c}") for c in ("o", "sig", "n", "after", "group")]
+        fits = (hub[4] != F.col("group")) & _fits(threshold, F.col("n"), after, hub[2], hub[3])
         chosen.append(F.min(F.when(fits, F.struct(hub[0].alias("o"), hub[1].alias("t")))).alias(f"c{i}"))
     met = joined.groupBy("sig").agg(*chosen)
     met = met.select("sig", F.explode(F.array_compact(F.array(*[F.col(f"c{i}.t") for i in range(len(orders))]))).alias("t"))
@@ -240,13 +250,16 @@ def _met(lists: DataFrame, threshold: float, turn: int) -> DataFrame:
 
 
 def _left(lists: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of different groups in the lists whose sizes and sketches leave room for a link."""
-    full = lists.join(sets.select("sig", "odd"), "sig")
-    one = full.select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("rest").alias("sr"), F.col("group").alias("sg"), F.col("odd").alias("so"))
-    other = one.toDF("key", "t", "tn", "tr", "tg", "to")
-    room = _fits(threshold, *[F.col(c) for c in ("sn", "sr", "tn", "tr")]) & _near(threshold, *[F.col(c) for c in ("so", "to", "sn", "tn")])
+    """All pairs of different groups in the lists whose sizes and sketches leave room for a
+    link; a pair may come once for each list."""
+    words = [f"o{k}" for k in range(BITS // 64)]
+    sketch = sets.select("sig", *[F.coalesce(F.get("odd", F.lit(k)), F.lit(0)).alias(w) for k, w in enumerate(words)])
+    one = lists.join(sketch, "sig").select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), (F.col("rest") - F.col("before")).alias("sr"), F.col("group").alias("sg"), *words)
+    others = [f"t{k}" for k in range(BITS // 64)]
+    other = one.toDF("key", "t", "tn", "tr", "tg", *others)
+    room = _fits(threshold, *[F.col(c) for c in ("sn", "sr", "tn", "tr")]) & _near(threshold, [F.col(c) for c in words], [F.col(c) for c in others], F.col("sn"), F.col("tn"))
     met = one.join(other, "key").filter((F.col("s") < F.col("t")) & (F.col("sg") != F.col("tg")) & room)
-    return met.select(F.col("t").alias("a"), F.col("s").alias("b")).distinct()
+    return met.select(F.col("t").alias("a"), F.col("s").alias("b"))
 
 
 def _grouped(sets: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
@@ -254,12 +267,12 @@ def _grouped(sets: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
     classes = stored(lists.groupBy("sig").agg(F.col("sig").alias("group")), "groups")
     before = float("inf")
     for turn in range(ROUNDS + 1):
-        lists, left = _open(lists.select("key", "sig", "n", "rest"), classes)
+        lists, left = _open(lists.select("key", "sig", "n", "rest", "before"), classes)
         if not left:
             break
         last = turn == ROUNDS or left > GAIN * before
         before = left
-        pairs = _left(lists, sets, threshold) if last else _met(lists, threshold, turn)
+        pairs = _left(lists, sets, threshold).distinct() if last else _met(lists, threshold, turn)
         classes = _merged(classes, stored(_linked(pairs, sets, threshold), "linked"))
         if last:
             break
@@ -274,9 +287,10 @@ def link_groups(
     Rows are of one group if links join them; the group of an empty set is null.
     """
     rows = stored(described(docs, width, threshold, id_col, text_col), "shingles")
-    sets = rows.filter(F.col("keys").isNotNull()).groupBy("sig").agg(F.first("n").cast("int").alias("n"), F.first("rest").cast("int").alias("rest"), F.first("keys").alias("keys"), F.first("shared").alias("shared"), F.first("odd").alias("odd"))
+    sets = rows.filter(F.col("keys").isNotNull()).groupBy("sig").agg(F.first("n").cast("int").alias("n"), F.first("rest").cast("int").alias("rest"), F.first("keys").alias("keys"), F.first("before").alias("before"), F.first("shared").alias("shared"), F.first("odd").alias("odd"))
     sets = stored(sets, "sets")
-    posted = sets.select(F.explode("keys").alias("key"), "sig", "n", "rest").distinct()
+    each = F.arrays_zip("keys", "before")
+    posted = sets.select(F.explode(each).alias("p"), "sig", "n", "rest").select("p.keys", "sig", "n", "rest", "p.before").toDF("key", "sig", "n", "rest", "before").distinct()
     groups = _grouped(sets.select("sig", "n", "shared", "odd"), stored(_folded(posted), "lists"), threshold)
     own = F.when(F.col(ID) != NO_ID, F.col(ID))
     classes = rows.filter("n > 0").groupBy("sig").agg(F.min(own).alias("least"))
