@@ -114,3 +114,12 @@ def test_every_character_next_to_a_stop_or_comma():
         got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
         want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
         assert [c for c, g, w in zip(signs, got, want, strict=True) if g != w] == []
+
+
+def test_accented_words_go_straight_to_the_merges():
+    """Calls of the pre-tokenizer and the whole tokenizer took much of the time."""
+    text = "été Çà niño straße ÆØÅ ȺȾ žluťoučký kůň"
+    whole = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    words = packing.WordTokens(PATH)
+    words.tokenizer = words.as_bytes = None
+    assert words.texts([text.encode()])[0].tolist() == whole

@@ -64,7 +64,10 @@ class WordTokens(dict):
 
         self.tokenizer, self.half, self.old = Tokenizer.from_file(path), half, {}
         self.model = self.tokenizer.model
-        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # The vocabulary's sign of each byte that characters up to U+D7FF are made of.
+        some = map(chr, [*range(0x800), *range(0x800, 0xD800, 0x800)])
+        self.signs = {b: s for c in some for b, s in zip(c.encode(), as_bytes.pre_tokenize_str(c)[0][0], strict=True)}
         special = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in special]
 
@@ -93,7 +96,7 @@ class WordTokens(dict):
         if len(stem) < len(word) and unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha():
             return self[stem] + self[word[len(stem) :]]
         if shown.isalpha() and max(shown) < "ɐ" and "İ" not in shown and unicodedata.is_normalized("NFC", shown):
-            return self._merged(self.as_bytes.pre_tokenize_str(shown.lower())[0][0])
+            return self._merged(shown.lower().encode().decode("latin-1").translate(self.signs))
         return self._ids(self.tokenizer.encode(shown, add_special_tokens=False).ids)
 
     def _merged(self, shown: str) -> bytes:
@@ -117,7 +120,7 @@ class WordTokens(dict):
         word is looked up once; the rest is array work."""
         split = [self._split(t) for t in texts]
         words = pa.array([w for ws in split for w in ws], pa.binary()).dictionary_encode()
-        ids = [self[w] for w in words.dictionary.to_pylist()]
+        ids = [self[w] for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
         flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
         at = words.indices.to_numpy()
         long = sizes[at]
