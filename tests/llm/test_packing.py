@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -123,3 +124,31 @@ def test_accented_words_go_straight_to_the_merges():
     words = packing.WordTokens(PATH)
     words.tokenizer = words.as_bytes = None
     assert words.texts([text.encode()])[0].tolist() == whole
+
+
+def test_words_are_merged_together_as_one_by_one():
+    """Merging each new word by itself, and holding many, took much of the time and memory."""
+    rng, plain, words = random.Random(3), Tokenizer.from_file(PATH), packing.WordTokens(PATH)
+    parts = "the ing er tion schlüß é ñ Ça Ø st heit x zz A THE ı ſ ʀ Ʀ o ł".split()
+    made = ["".join(rng.choices(parts, k=rng.randint(1, 9))) + rng.choice(["", "", ".", "###", "..."]) for _ in range(20_000)]
+    made += ["it's", "e" * 300, "ab" * 90, "é" * 70, "a1b2", "日本é", "é\u0301x", "e\u0301x"]
+    tokenizer, calls = words.tokenizer, []
+
+    class Counted:
+        def encode(self, text, **more):
+            calls.append(text)
+            return tokenizer.encode(text, **more)
+
+    words.tokenizer = Counted()
+    ids, sizes = words.texts([w.encode() for w in made])
+    got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    want = [e.ids for e in plain.encode_batch(made, add_special_tokens=False)]
+    assert [w for w, g, e in zip(made, got, want, strict=True) if g != e] == []
+    assert len(words) + len(words.old) == len(calls) < len(set(made)) / 4
+
+
+def test_broken_utf8_is_read_as_replaced():
+    plain, words = Tokenizer.from_file(PATH), packing.WordTokens(PATH)
+    for text in (b"caf\xc3 \xa9t", b"a\xc3", b"\xa9a b\xc3\xa9\xa9 \xc3\xc3\xa9"):
+        want = plain.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert words.texts([text])[0].tolist() == want

@@ -28,18 +28,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tocsin.llm.common import ID, MARK, NO_ID, TEXT, bounded_batches, map_arrow, row_id, slices, stored, text_bytes, text_mark
+from tocsin.llm.word_merges import Merges, spans
 
 #: Bytes of text tokenised at once; the words and ids of a slice take many times that.
-SLICE = 1 << 19
+SLICE = 1 << 20
 #: A source is served in a window if so many tokens, or a document's end, are granted.
 LEAST = 64
 #: All but ASCII signs other than the stop and the comma, and runs of these two.
 SAFE = bytes(b for b in range(256) if b > 127 or chr(b).isalnum() or b in b" \t\n\x0b\x0c\r.,")
 SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+SIGN = np.isin(np.arange(256), np.frombuffer(SIGNS, np.uint8))
 RUNS = (b"..", b".,", b",.", b",,")
 #: Characters whose lower-case form is letters alone. Any other beyond ASCII, such as a quote,
 #: an emoji or a combining mark, makes one piece with the stop or comma that it touches.
@@ -52,22 +55,19 @@ class WordTokens(dict):
     """The ids of each word as bytes of 32-bit numbers.
 
     The vocabulary parts text at white space first, so a text's ids are those of its
-    words. Words met lately are kept, in two generations of at most ``half`` words.
-    Plain words go straight to the merge model, all else through the whole tokenizer.
+    words. Words of Latin letters, with signs behind them or not, are merged as arrays and
+    not kept. All else goes through the whole tokenizer; what was met lately is kept, in
+    two generations of at most ``half`` words.
     """
 
     held: dict[str, WordTokens] = {}
 
-    def __init__(self, path: str, half: int = 300_000):
+    def __init__(self, path: str, half: int = 30_000):
         super().__init__()
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer, self.half, self.old = Tokenizer.from_file(path), half, {}
-        self.model = self.tokenizer.model
-        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # The vocabulary's sign of each byte that characters up to U+D7FF are made of.
-        some = map(chr, [*range(0x800), *range(0x800, 0xD800, 0x800)])
-        self.signs = {b: s for c in some for b, s in zip(c.encode(), as_bytes.pre_tokenize_str(c)[0][0], strict=True)}
+        self.merges = Merges(self.tokenizer)
         special = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in special]
 
@@ -88,46 +88,72 @@ class WordTokens(dict):
         return value
 
     def _encode(self, word: bytes) -> bytes:
-        if word.isalpha():
-            low = word.lower()
-            return self[low] if low != word else self._merged(word.decode())
         shown = word.decode("utf-8", "replace")
-        stem = word.rstrip(SIGNS)
-        if len(stem) < len(word) and unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha():
-            return self[stem] + self[word[len(stem) :]]
         if shown.isalpha() and max(shown) < "ɐ" and "İ" not in shown and unicodedata.is_normalized("NFC", shown):
-            return self._merged(shown.lower().encode().decode("latin-1").translate(self.signs))
+            # With Ⱥ or Ⱦ, whose lower case takes more bytes.
+            low = np.frombuffer(shown.lower().encode(), np.uint8)
+            return self.merges.of(low, np.array([0]), np.array([len(low)]))[0].astype("<u4").tobytes()
         return self._ids(self.tokenizer.encode(shown, add_special_tokens=False).ids)
 
-    def _merged(self, shown: str) -> bytes:
-        return self._ids([t.id for t in self.model.tokenize(shown)])
+    def all(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one behind the other, and the ids of each."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
+        raw = words.buffers()[2]
+        data = np.frombuffer(raw, np.uint8)[: offsets[-1]] if len(words) and raw else np.zeros(0, np.uint8)
+        starts, ends = offsets[:-1], offsets[1:]
+        low, good = self.merges.lowered(data, ends)
+        # Letters with signs behind them are two pieces, any other word is one.
+        clear = np.append(-1, np.where(SIGN[data], -1, np.arange(len(data))))
+        stem = np.maximum.accumulate(clear)[ends] + 1
+        bad = np.append(0, np.cumsum(~good))
+        ours = (stem > starts) & (bad[np.maximum(stem, starts)] == bad[starts])
+        cut = ours & (stem < ends)
+        pieces = 1 + cut
+        own = np.cumsum(pieces) - pieces
+        begin, end, plain = np.repeat(starts, pieces), np.repeat(ends, pieces), np.repeat(ours, pieces)
+        tail = own[cut] + 1
+        begin[tail] = end[tail - 1] = stem[cut]
+        plain[tail] = False
+        merged, counts = self.merges.of(low, begin[plain], (end - begin)[plain])
+        held, other = memoryview(data), np.flatnonzero(~plain)
+        rest = [self[bytes(held[a:b])] for a, b in zip(begin[other].tolist(), end[other].tolist(), strict=True)]
+        sizes = np.empty(len(begin), np.int64)
+        sizes[plain], sizes[other] = counts, np.fromiter(map(len, rest), np.int64, len(rest)) // 4
+        first, flat = np.cumsum(sizes) - sizes, np.empty(sizes.sum(), np.uint32)
+        flat[spans(first[plain], counts)] = merged
+        flat[spans(first[other], sizes[other])] = np.frombuffer(b"".join(rest), "<u4")
+        return flat, np.add.reduceat(sizes, own) if len(own) else sizes
 
     @staticmethod
     def _ids(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _split(self, text: bytes) -> list[bytes]:
-        if any(s in text for s in self.special):
-            return [text]
+    def _apart(self, text: bytes) -> bytes:
+        """The text with its stops and commas apart from its words, where that changes no id."""
         plain = not text.translate(None, SAFE) and not any(run in text for run in RUNS)
         if plain and (text.isascii() or not JOINED.search(text.decode("utf-8", "replace"))):
             # Every stop and comma is a token of its own, so words come without them.
             text = text.lower().replace(b".", b" . ").replace(b",", b" , ")
-        return text.split()
+        return text
+
+    def _split(self, texts: list[bytes]) -> pa.ListArray:
+        """The words of each text; a text with a special token can't be parted and is one.
+        Space at a text's ends gives empty words, which have no ids."""
+        if any(s in t for t in texts for s in self.special):
+            return pa.array([[t] if any(s in t for s in self.special) else self._apart(t).split() for t in texts], pa.list_(pa.binary()))
+        return pc.ascii_split_whitespace(pa.array(map(self._apart, texts), pa.binary()).view(pa.string()))
 
     def texts(self, texts: list[bytes], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one behind the other, and the ids of each. Every distinct
         word is looked up once; the rest is array work."""
-        split = [self._split(t) for t in texts]
-        words = pa.array([w for ws in split for w in ws], pa.binary()).dictionary_encode()
-        ids = [self[w] for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
+        split = self._split(texts)
+        words = split.values.view(pa.binary()).dictionary_encode()
+        flat, sizes = self.all(words.dictionary)
         at = words.indices.to_numpy()
         long = sizes[at]
         first = (np.cumsum(sizes) - sizes)[at] if len(at) else at
-        found = flat[np.repeat(first - (np.cumsum(long) - long), long) + np.arange(long.sum())]
-        ends = np.cumsum([len(ws) for ws in split])
-        whole = np.append(0, np.cumsum(long))[np.append(0, ends)]
+        found = flat[spans(first, long)]
+        whole = np.append(0, np.cumsum(long))[split.offsets.to_numpy()]
         if end is not None:
             found = np.insert(found, whole[1:], end)
             whole = whole + np.arange(len(whole))
