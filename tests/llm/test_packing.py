@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import edges
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -152,3 +154,29 @@ def test_broken_utf8_is_read_as_replaced():
     for text in (b"caf\xc3 \xa9t", b"a\xc3", b"\xa9a b\xc3\xa9\xa9 \xc3\xc3\xa9"):
         want = plain.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
         assert words.texts([text])[0].tolist() == want
+
+
+def test_pieces_are_made_from_the_documents_own_bytes():
+    """A part's ids were copied wide for its queues, again for its pieces and again for its table."""
+    rng = np.random.default_rng(0)
+    n, long = 4000, 1000
+    ids = [rng.integers(2, 40_000, long).astype("<u2").tobytes() for _ in range(n)]
+    texts = pa.table({
+        packing.ID: pa.array(range(n), pa.int64()), packing.MARK: pa.array([0] * n, pa.int32()), "mix": pa.array(["ab"[k % 2] for k in range(n)]),
+        "n": pa.array([long] * n, pa.int64()), "ids": pa.array(ids, pa.binary()), "part": pa.array([5] * n, pa.int32()),
+    })
+    tracemalloc.start()
+    try:
+        queues = {m: packing._Queue(0.5, 0.0) for m in "ab"}
+        packing.enqueue(texts, queues)
+        before = tracemalloc.get_traced_memory()[0]
+        found = packing.in_blocks(5, packing.fill(list(queues.values()), 2048))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert before < 4 << 20 and peak < 28 << 20, (before, peak)
+    assert max(b.nbytes for b in found.to_batches()) < 2 << 20
+    whole = {}
+    for i, start, x in sorted(zip(*(found.column(c).to_pylist() for c in (packing.ID, "start", "ids")), strict=True)):
+        whole[i] = whole.get(i, b"") + x
+    assert [np.frombuffer(whole[i], "<u4").astype("<u2").tobytes() for i in range(n)] == ids

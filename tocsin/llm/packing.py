@@ -37,6 +37,8 @@ from tocsin.llm.word_merges import Merges, spans
 
 #: Bytes of text tokenised at once; the words and ids of a slice take many times that.
 SLICE = 1 << 20
+#: Tokens of the pieces that are handed back at a time.
+BLOCK = 1 << 18
 #: A source is served in a window if so many tokens, or a document's end, are granted.
 LEAST = 64
 #: All but ASCII signs other than the stop and the comma, and runs of these two.
@@ -192,16 +194,16 @@ class _Queue:
 
     def __init__(self, share: float, owed: float):
         self.share, self.owed = share, owed
-        self.docs: deque[tuple[tuple[int, int, str | None], bytes]] = deque()
+        self.docs: deque[tuple[tuple[int, int, str | None], np.ndarray]] = deque()
         self.at = self.left = 0
 
     def take(self, most: int) -> Iterator[tuple]:
         """Pieces of up to so many tokens together: key, start, ids, tokens of the document."""
         while most and self.docs:
             key, ids = self.docs[0]
-            total = len(ids) // 4
+            total = len(ids)
             n = min(most, total - self.at)
-            yield key, self.at, ids[4 * self.at : 4 * (self.at + n)], total
+            yield key, self.at, ids[self.at : self.at + n], total
             self.at += n
             self.left -= n
             self.owed -= n
@@ -213,7 +215,7 @@ class _Queue:
     def ready(self) -> int:
         """What may be taken now: what is owed, if that is a piece worth cutting."""
         owed = min(int(self.owed), self.left)
-        if owed < LEAST and self.docs and owed < len(self.docs[0][1]) // 4 - self.at:
+        if owed < LEAST and self.docs and owed < len(self.docs[0][1]) - self.at:
             return 0
         return max(0, owed)
 
@@ -232,11 +234,60 @@ def fill(queues: list[_Queue], window: int) -> Iterator[tuple]:
                 if place < size:
                     for piece in q.take(min(size - place, asked(q))):
                         yield (*piece, number, place)
-                        place += len(piece[2]) // 4
+                        place += len(piece[2])
         left -= size
         number += 1
 
 
+def enqueue(texts: pa.Table, queues: dict[str | None, _Queue]) -> None:
+    """Put a part's documents into their queues, by id and mark. Their ids stay where Arrow
+    has them; only the keys are copied."""
+    keys = [texts.column(c).to_numpy() for c in (ID, MARK)]
+    mixes, n = texts.column("mix").to_pylist(), texts.column("n").to_numpy()
+    ids = []
+    for chunk in texts.column("ids").cast(pa.binary()).chunks:
+        at = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset :][: len(chunk) + 1].tolist()
+        held = memoryview(chunk.buffers()[2] or b"")
+        ids += [held[a:b] for a, b in zip(at, at[1:], strict=False)]
+    for k in np.lexsort(keys[::-1]).tolist():
+        queue = queues[mixes[k]]
+        kind = "<u4" if len(ids[k]) == 4 * n[k] else "<u2"
+        queue.docs.append(((int(keys[0][k]), int(keys[1][k]), mixes[k]), np.frombuffer(ids[k], kind)))
+        queue.left += int(n[k])
+
+
+def piece_table(part: int, found: list[tuple]) -> pa.Table:
+    """Pieces as rows."""
+    sizes = np.array([len(p[2]) for p in found], np.int64)
+    ids = np.concatenate([np.zeros(0, "<u4"), *(p[2] for p in found)], dtype="<u4")
+    offsets = np.append(0, np.cumsum(4 * sizes)).astype(np.int32)
+    return pa.table(
+        {
+            ID: pa.array([p[0][0] for p in found], pa.int64()),
+            MARK: pa.array([p[0][1] for p in found], pa.int32()),
+            "mix": pa.array([p[0][2] for p in found], pa.string()),
+            "start": pa.array([p[1] for p in found], pa.int64()),
+            "length": pa.array(sizes, pa.int64()),
+            "ids": pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]),
+            "doc_tokens": pa.array([p[3] for p in found], pa.int64()),
+            "sequence_id": pa.array([(part << 32) + p[4] for p in found], pa.int64()),
+            "offset": pa.array([p[5] for p in found], pa.int64()),
+        }
+    )
+
+
+def in_blocks(part: int, pieces: Iterator[tuple]) -> pa.Table:
+    """All pieces, a block of tokens behind the other, so that each goes back by itself."""
+    blocks, found, size = [], [], 0
+    for piece in pieces:
+        found.append(piece)
+        size += len(piece[2])
+        if size >= BLOCK:
+            blocks.append(piece_table(part, found))
+            found, size = [], 0
+    return pa.concat_tables([*blocks, piece_table(part, found)] if found or not blocks else blocks)
+
+
 def owed_before(counts: DataFrame, targets: dict[str | None, float] | None) -> DataFrame:
     """``part, mix, share, owed``: each source's target and its debt when a part begins.
 
@@ -276,27 +327,9 @@ def pack(
 
     def make(texts: pa.Table, debts: pa.Table) -> pa.Table:
         queues = {d["mix"]: _Queue(d["share"], d["owed"]) for d in sorted(debts.to_pylist(), key=lambda d: d["mix"] or "")}
-        order = texts.select([ID, MARK, "mix", "n", "ids"]).sort_by([(ID, "ascending"), (MARK, "ascending")])
         part = texts.column("part")[0].as_py() if len(texts) else 0
-        for batch in order.to_batches(max_chunksize=4096):
-            for i, m, mix, n, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                wide = ids if len(ids) == 4 * n else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
-                queues[mix].docs.append(((i, m, mix), wide))
-                queues[mix].left += n
-        found = list(fill(list(queues.values()), window))
-        return pa.table(
-            {
-                ID: pa.array([p[0][0] for p in found], pa.int64()),
-                MARK: pa.array([p[0][1] for p in found], pa.int32()),
-                "mix": pa.array([p[0][2] for p in found], pa.string()),
-                "start": pa.array([p[1] for p in found], pa.int64()),
-                "length": pa.array([len(p[2]) // 4 for p in found], pa.int64()),
-                "ids": pa.array([p[2] for p in found], pa.binary()),
-                "doc_tokens": pa.array([p[3] for p in found], pa.int64()),
-                "sequence_id": pa.array([(part << 32) + p[4] for p in found], pa.int64()),
-                "offset": pa.array([p[5] for p in found], pa.int64()),
-            }
-        )
+        enqueue(texts, queues)
+        return in_blocks(part, fill(list(queues.values()), window))
 
     return rows.groupBy("part").cogroup(owed.groupBy("part")).applyInArrow(make, PIECES)
 
